@@ -1,0 +1,5 @@
+"""No streaming operators: the analytics run over bounded event tables.
+
+"Last week" is a look-back from each user's own last day, known only once the
+table is complete, and not a streaming window.
+"""
