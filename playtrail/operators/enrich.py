@@ -20,7 +20,7 @@ from playtrail.functions import (
     rate_columns,
 )
 from playtrail.operators.per_user import attach_per_user
-from playtrail.operators.rollup import user_activity, user_day_rollup
+from playtrail.operators.rollup import active_days, user_activity, user_day_rollup
 from playtrail.operators.segments import SEGMENT_FILTERS
 from playtrail.schema import LOOKBACKS, PAGE_FLAGS, RATES, USER_TOTALS, segment_suffix
 
@@ -50,11 +50,7 @@ def with_user_bounds(events: DataFrame) -> DataFrame:
     """First and last moment of the user, the days between, look-back dates."""
     users = (
         events.groupBy("userId")
-        .agg(
-            F.count(F.lit(1)).alias("userEvents"),
-            F.min("ts").alias("firstTs"),
-            F.max("ts").alias("lastTs"),
-        )
+        .agg(F.min("ts").alias("firstTs"), F.max("ts").alias("lastTs"))
         .withColumns(_bounds_columns())
         .drop("firstTs", "lastTs")
     )
@@ -65,7 +61,6 @@ def with_user_totals(events: DataFrame) -> DataFrame:
     """Per-user sums of the page flags, `churned` among them."""
     totals = {"churned": "churn"} | USER_TOTALS
     users = events.groupBy("userId").agg(
-        F.count(F.lit(1)).alias("userEvents"),
         *[F.sum(page_flag(PAGE_FLAGS[flag])).alias(total) for total, flag in totals.items()],
     )
     return attach_per_user(events, users)
@@ -73,16 +68,7 @@ def with_user_totals(events: DataFrame) -> DataFrame:
 
 def with_active_days(events: DataFrame) -> DataFrame:
     """The number of days on which the user was active."""
-    users = (
-        events.groupBy("userId", event_day().alias("day"))
-        .agg(F.count(F.lit(1)).alias("events"))
-        .groupBy("userId")
-        .agg(
-            F.sum("events").alias("userEvents"),
-            F.count(F.lit(1)).alias("daysInteracting"),
-        )
-    )
-    return attach_per_user(events, users)
+    return attach_per_user(events, active_days(events))
 
 
 def with_rates(events: DataFrame) -> DataFrame:
@@ -98,7 +84,7 @@ def enrich_activity(activity: DataFrame, segment: str = "all") -> DataFrame:
     """
     suffix = segment_suffix(segment)
     of_segment = [*USER_TOTALS, "daysInteracting", *RATES]
-    kept = ["userId", "userEvents", "churned", *_bounds_columns()]
+    kept = ["userId", "churned", *_bounds_columns()]
     if segment == "all":
         kept.append("intensityOfInteraction")
     users = (

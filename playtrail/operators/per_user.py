@@ -2,43 +2,31 @@
 
 A window over `userId` would sort all events of one user in one task, however
 many there are. Here per-user values are aggregated, which combines on the map
-side, and then joined back, with heavy users kept out of the shuffle.
+side, and then joined back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A user is hot when holding at least this fraction of all events, so whatever
-# the data there are at most this many hot users, and their rows can be
-# broadcast. Any other user fits easily into one shuffle partition.
-MAX_HOT_USERS = 100_000
 
-
-def _is_hot(users: DataFrame, limit: int) -> Column:
-    all_events = users.agg(F.sum("userEvents")).scalar()
-    return F.col("userEvents") * limit >= all_events
-
-
-def hot_users(users: DataFrame, limit: int = MAX_HOT_USERS) -> DataFrame:
-    """Users with at least 1/limit of all events: at most `limit` rows."""
-    return users.where(_is_hot(users.select("userId", "userEvents"), limit))
-
-
-def attach_per_user(
-    events: DataFrame, users: DataFrame, limit: int = MAX_HOT_USERS
-) -> DataFrame:
+def attach_per_user(events: DataFrame, users: DataFrame) -> DataFrame:
     """Left join of one row per user onto the events of that user.
 
-    `users` has `userId`, `userEvents` (that user's number of events) and the
-    columns to attach; `userEvents` itself is not attached. Events of hot users
-    meet their user row by broadcast and are never shuffled. The rest goes by
-    an ordinary join on `userId`. Every event takes exactly one of the two ways.
+    Adaptive execution splits a hot user's events over many tasks, but only
+    where both sides are shuffled for this very join. `users` usually comes out
+    of an aggregation by `userId`, whose partitioning Spark would reuse, so the
+    join also matches on a hash of the user, which makes it shuffle again. That
+    costs one row per user. If the user side turns out small enough Spark
+    broadcasts it instead, by its own size check.
+
+    Operators can be chained: a later aggregation that needs none of the
+    attached columns is planned without this join.
     """
-    hot = F.broadcast(hot_users(users, limit))
-    hot_events = events.join(hot.drop("userEvents"), "userId")
-    cold_events = events.join(hot.select("userId"), "userId", "left_anti").join(
-        users.drop("userEvents"), "userId", "left"
+    user_hash = {"userHash": F.xxhash64("userId")}
+    return (
+        events.withColumns(user_hash)
+        .join(users.withColumns(user_hash), ["userId", "userHash"], "left")
+        .drop("userHash")
     )
-    return hot_events.unionByName(cold_events)

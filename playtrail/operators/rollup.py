@@ -52,7 +52,6 @@ def user_activity(rollup: DataFrame) -> DataFrame:
     }
 
     measures = [
-        F.sum("events").alias("userEvents"),
         F.sum("churn").alias("churned"),
         F.min("firstTs").alias("firstTs"),
         F.max("lastTs").alias("lastTs"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import oracle
 import pytest
 from logs import log, random_log
@@ -11,7 +13,6 @@ from playtrail.operators import (
     attach_per_user,
     clean_activity,
     enrich_activity,
-    hot_users,
     with_active_days,
     with_calendar,
     with_flags,
@@ -79,33 +80,46 @@ def test_single_operators_chain_to_the_combined_one(spark, segment):
     assert left == right
 
 
-def test_hot_and_cold_ways_agree(spark):
-    raw = random_log(spark, 5).cache()
-    events = clean_activity(raw)
-    users = events.groupBy("userId").agg(
-        F.count(F.lit(1)).alias("userEvents"), F.max("ts").alias("lastTs")
-    )
-    by_limit = []
-    for limit in (1, 2, 20, 10_000):
-        by_limit.append(
-            sorted((tuple(r) for r in attach_per_user(events, users, limit).collect()), key=str)
-        )
-    # limit 1 needs a user with all events, so everything goes the cold way;
-    # at 10,000 all users are hot.
-    assert hot_users(users, 1).count() == 0
-    assert 0 < hot_users(users, 20).count() < users.count()
-    assert hot_users(users, 10_000).count() == users.count()
-    assert all(rows == by_limit[0] for rows in by_limit)
-    plain = events.join(users.drop("userEvents"), "userId", "left")
-    assert by_limit[0] == sorted((tuple(r) for r in plain.select(
-        "userId", *[c for c in plain.columns if c != "userId"]).collect()), key=str)
-
-
-def test_at_most_limit_users_are_hot(spark):
-    rows = [(f"u{i}", 10) for i in range(50)]
-    users = spark.createDataFrame(rows, "userId string, userEvents bigint")
-    assert hot_users(users, 50).count() == 50
-    assert hot_users(users, 49).count() == 0
+def test_hot_user_is_split(spark, tmp_path):
+    """A third of all rows are of one user; the join cuts up that partition."""
+    path = str(tmp_path / "skewed")
+    user = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    spark.range(0, 300_000, numPartitions=16).select(
+        user.cast("string").alias("userId"), F.xxhash64("id").alias("ts")
+    ).write.parquet(path)
+    events = spark.read.parquet(path)
+    users = events.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = attach_per_user(events, users)
+        rows = joined.groupBy("userId", "n").count()
+        assert rows.where("n <> count").count() == 0
+        assert joined.agg(F.count("n")).first()[0] == 300_000
+        full = attach_per_user(events, users)
+        full.toArrow()
+        text = full._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in text.split("== Initial Plan ==")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_chained_operators_need_one_scan_each(spark, tmp_path):
+    path = str(tmp_path / "log")
+    random_log(spark, 7).write.parquet(path)
+    cleaned = clean_activity(spark.read.parquet(path))
+    chained = with_rates(with_active_days(with_user_totals(with_user_bounds(cleaned))))
+    text = chained._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("FileScan", text)) == 4
+    assert len(re.findall("Join ", text)) == 3
 
 
 def test_copies_of_one_event_are_kept(spark):
