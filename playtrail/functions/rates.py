@@ -15,7 +15,7 @@ from playtrail.schema import RATES
 def rate_columns(suffix: str = "") -> dict[str, Column]:
     """The ten per-day and per-song rates of one segment."""
     return {
-        rate + suffix: F.try_divide(F.col(counted + suffix), F.col(per + suffix))
+        rate + suffix: F.expr(f"try_divide({counted}{suffix}, {per}{suffix})")
         for rate, (counted, per) in RATES.items()
     }
 
@@ -26,15 +26,14 @@ def intensity() -> Column:
     Active days are counted inclusively while the span is a difference, so a
     user active every day is above 100.
     """
-    share = F.try_divide(F.col("daysInteracting"), F.col("durationDays"))
-    return F.coalesce(share * 100, F.lit(0.0))
+    return F.expr("coalesce(try_divide(daysInteracting, durationDays) * 100, 0.0D)")
 
 
 def change_columns() -> dict[str, Column]:
     """Last week's daily rate over the daily rate of all earlier weeks."""
 
     def change(rate: str) -> Column:
-        return F.try_divide(F.col(rate + "LastWeek"), F.col(rate + "BeforeLastWeek"))
+        return F.expr(f"try_divide({rate}LastWeek, {rate}BeforeLastWeek)")
 
     return {
         "playlistActivityChange": change("songsAddedToPlaylistPerDay"),

@@ -16,13 +16,13 @@ from playtrail.functions import (
     clock_text,
     event_day,
     flag_columns,
-    page_flag,
+    flag_sum,
     rate_columns,
 )
 from playtrail.operators.per_user import attach_per_user
 from playtrail.operators.rollup import active_days, user_activity, user_day_rollup
 from playtrail.operators.segments import SEGMENT_FILTERS
-from playtrail.schema import LOOKBACKS, PAGE_FLAGS, RATES, USER_TOTALS, segment_suffix
+from playtrail.schema import LOOKBACKS, RATES, USER_TOTALS, segment_suffix
 
 
 def with_calendar(events: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def with_user_totals(events: DataFrame) -> DataFrame:
     """Per-user sums of the page flags, `churned` among them."""
     totals = {"churned": "churn"} | USER_TOTALS
     users = events.groupBy("userId").agg(
-        *[F.sum(page_flag(PAGE_FLAGS[flag])).alias(total) for total, flag in totals.items()],
+        *[flag_sum(flag, total) for total, flag in totals.items()]
     )
     return attach_per_user(events, users)
 

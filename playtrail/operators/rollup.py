@@ -9,12 +9,21 @@ reaches the per-user stage as one row per day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.functions import change_columns, event_day, intensity, page_flag, rate_columns
+from playtrail.functions import change_columns, event_day, flag_sum, intensity, rate_columns
 from playtrail.schema import LOOKBACKS, PAGE_FLAGS, SEGMENTS, USER_TOTALS
 
+WEEK = LOOKBACKS["weekBeforeEndDate"]
+
+# Which of a user's days a segment takes; `weekBefore` is that user's boundary day.
+SEGMENT_DAYS = {
+    "all": "",
+    "last_week": "FILTER (WHERE day > weekBefore)",
+    "before_last_week": "FILTER (WHERE day < weekBefore)",
+}
+
 
 def user_day_rollup(activity: DataFrame) -> DataFrame:
     """Daily sums: event count, first and last moment, one sum per page flag."""
@@ -22,7 +31,7 @@ def user_day_rollup(activity: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("events"),
         F.min("ts").alias("firstTs"),
         F.max("ts").alias("lastTs"),
-        *[F.sum(page_flag(page)).alias(flag) for flag, page in PAGE_FLAGS.items()],
+        *[flag_sum(flag, flag) for flag in PAGE_FLAGS],
     )
 
 
@@ -41,30 +50,22 @@ def user_activity(rollup: DataFrame) -> DataFrame:
     query does not select costs nothing: Catalyst drops those aggregates, and
     the window too when no segment is asked for.
     """
-    week_before = F.date_add(
-        F.max("day").over(Window.partitionBy("userId")), -LOOKBACKS["weekBeforeEndDate"]
+    days = rollup.selectExpr(
+        "*", f"date_add(max(day) OVER (PARTITION BY userId), -{WEEK}) AS weekBefore"
     )
-    days = rollup.withColumn("weekBefore", week_before)
-    inside = {
-        "all": F.lit(True),
-        "last_week": F.col("day") > F.col("weekBefore"),
-        "before_last_week": F.col("day") < F.col("weekBefore"),
-    }
-
     measures = [
-        F.sum("churn").alias("churned"),
-        F.min("firstTs").alias("firstTs"),
-        F.max("lastTs").alias("lastTs"),
-        F.date_diff(F.max("day"), F.min("day")).alias("durationDays"),
+        "sum(churn) AS churned",
+        "min(firstTs) AS firstTs",
+        "max(lastTs) AS lastTs",
+        "date_diff(max(day), min(day)) AS durationDays",
     ]
     for segment, suffix in SEGMENTS.items():
-        chosen = inside[segment]
-        measures.append(F.count(F.when(chosen, F.lit(1))).alias("daysInteracting" + suffix))
+        chosen = SEGMENT_DAYS[segment]
+        measures.append(f"count(*) {chosen} AS daysInteracting{suffix}")
         measures += [
-            F.sum(F.when(chosen, F.col(flag))).alias(total + suffix)
-            for total, flag in USER_TOTALS.items()
+            f"sum({flag}) {chosen} AS {total}{suffix}" for total, flag in USER_TOTALS.items()
         ]
-    users = days.groupBy("userId").agg(*measures)
+    users = days.groupBy("userId").agg(*[F.expr(measure) for measure in measures])
 
     rates = {}
     for suffix in SEGMENTS.values():

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from playtrail.schema import ACTIVITY, ACTIVITY_COLUMNS
 
@@ -47,45 +46,46 @@ def schema_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string, nullable boolean")
 
 
+# How each column of an activity log is read off one row of `events`.
+FROM_EVENTS = {
+    "userId": """
+        CASE WHEN event_id % 97 = 0 THEN ''
+             WHEN event_id % 101 = 0 THEN NULL
+             ELSE string(user_id) END""",
+    "sessionId": """
+        CASE WHEN event_id % 103 <> 0 THEN user_id * 100 + dayofmonth(timestamp(ts)) END""",
+    "ts": "unix_millis(timestamp(ts))",
+    "page": """
+        CASE event_type
+          WHEN 'error' THEN CASE WHEN value > 200 THEN 'Cancellation Confirmation'
+                                 WHEN event_id % 2 = 0 THEN 'Roll Advert'
+                                 ELSE 'Thumbs Down' END
+          WHEN 'view' THEN 'NextSong'
+          WHEN 'click' THEN if(event_id % 3 = 0, 'Thumbs Up', 'NextSong')
+          WHEN 'purchase' THEN CASE event_id % 5 WHEN 0 THEN 'Submit Downgrade'
+                                                 WHEN 1 THEN 'Downgrade'
+                                                 ELSE 'Add to Playlist' END
+          WHEN 'signup' THEN if(event_id % 2 = 0, 'Add Friend', 'Logout')
+        END""",
+    "level": "if(user_id % 3 = 0, 'paid', 'free')",
+    "song": "if(isSong, 'song-' || string(event_id % 1000), NULL)",
+    "artist": "if(isSong, 'artist-' || string(event_id % 100), NULL)",
+    "gender": "if(user_id % 2 = 0, 'F', 'M')",
+    "itemInSession": "event_id % 50",
+    "length": "if(isSong, value, NULL)",
+    "location": "'city-' || string(user_id % 20)",
+    "status": "bigint(if(event_type = 'error', 404, 200))",
+    "userAgent": "'agent-' || string(user_id % 5)",
+}
+IS_SONG = "event_type = 'view' OR (event_type = 'click' AND event_id % 3 <> 0) AS isSong"
+
+
 def activity_from_events(events: DataFrame) -> DataFrame:
     """Read the generic `events` table as an activity log.
 
     Plain arithmetic on the event's own columns, so the same log can be stated
     in SQL. Some ids come out blank or null to give cleaning something to do.
     """
-    event_id, user_id = F.col("event_id"), F.col("user_id")
-    event_type, value = F.col("event_type"), F.col("value")
-    moment = F.col("ts").cast("timestamp")
-
-    page = (
-        F.when((event_type == "error") & (value > 200), "Cancellation Confirmation")
-        .when((event_type == "error") & (event_id % 2 == 0), "Roll Advert")
-        .when(event_type == "error", "Thumbs Down")
-        .when(event_type == "view", "NextSong")
-        .when((event_type == "click") & (event_id % 3 == 0), "Thumbs Up")
-        .when(event_type == "click", "NextSong")
-        .when((event_type == "purchase") & (event_id % 5 == 0), "Submit Downgrade")
-        .when((event_type == "purchase") & (event_id % 5 == 1), "Downgrade")
-        .when(event_type == "purchase", "Add to Playlist")
-        .when((event_type == "signup") & (event_id % 2 == 0), "Add Friend")
-        .when(event_type == "signup", "Logout")
+    return events.selectExpr("*", IS_SONG).selectExpr(
+        *[f"{FROM_EVENTS[name]} AS {name}" for name in ACTIVITY_COLUMNS]
     )
-    is_song = page == "NextSong"
-    columns = {
-        "userId": F.when(event_id % 97 == 0, "")
-        .when(event_id % 101 == 0, None)
-        .otherwise(user_id.cast("string")),
-        "sessionId": F.when(event_id % 103 != 0, user_id * 100 + F.dayofmonth(moment)),
-        "ts": F.unix_millis(moment),
-        "page": page,
-        "level": F.when(user_id % 3 == 0, "paid").otherwise("free"),
-        "song": F.when(is_song, F.concat(F.lit("song-"), (event_id % 1000).cast("string"))),
-        "artist": F.when(is_song, F.concat(F.lit("artist-"), (event_id % 100).cast("string"))),
-        "gender": F.when(user_id % 2 == 0, "F").otherwise("M"),
-        "itemInSession": event_id % 50,
-        "length": F.when(is_song, value),
-        "location": F.concat(F.lit("city-"), (user_id % 20).cast("string")),
-        "status": F.when(event_type == "error", 404).otherwise(200).cast("bigint"),
-        "userAgent": F.concat(F.lit("agent-"), (user_id % 5).cast("string")),
-    }
-    return events.select(*[columns[name].alias(name) for name in ACTIVITY_COLUMNS])

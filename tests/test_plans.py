@@ -65,7 +65,7 @@ def test_filters_and_columns_reach_the_scan(stored):
 def test_one_segment_computes_only_its_own_sums(stored):
     text = plan(cohort_profile(user_measures(stored), VOLUME_METRICS))
     assert "Window" not in text
-    assert "CASE WHEN" not in text
+    assert "FILTER" not in text
     text = plan(cohort_profile(user_measures(stored), VOLUME_METRICS, "last_week"))
     assert "Window" in text
     assert not re.search(r"day#\d+ < weekBefore", text)
