@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from playtrail.operators import (  # noqa: E402
     active_days,
     activity_counts,
+    attach_per_user,
     clean_activity,
     cohort_profile,
     enrich_activity,
@@ -29,6 +30,7 @@ from playtrail.operators import (  # noqa: E402
     preview,
     top_pages,
     user_day_rollup,
+    user_totals,
     with_active_days,
     with_calendar,
     with_flags,
@@ -61,7 +63,12 @@ from playtrail.schema import (  # noqa: E402
     USER_TOTALS,
     VOLUME_METRICS,
 )
-from playtrail.sources import activity_from_events, new_shared_path, read_activity  # noqa: E402
+from playtrail.sources import (  # noqa: E402
+    activity_from_events,
+    materialize,
+    new_shared_path,
+    read_activity,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOP_K = 5
@@ -102,6 +109,12 @@ def _scan_parquet_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_activity(spark, path, "parquet")
 
 
+def _event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _clean(spark, sf_dir)
+    attached = attach_per_user(events, user_totals(events), active_days(events))
+    return with_rates(attached).select(*EVENT_KEY, *RATES)
+
+
 def _user_rates(segment: str):
     suffix = SEGMENTS[segment]
 
@@ -154,12 +167,13 @@ def _model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _label_rate(split: Callable[[DataFrame], DataFrame]):
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rate = split_label_rate(split(_model_table(spark, sf_dir)))
-        return rate.withColumn("labelRate", F.round("labelRate", 6))
+def _label_rate(table: DataFrame) -> DataFrame:
+    return split_label_rate(table).withColumn("labelRate", F.round("labelRate", 6))
 
-    return query
+
+def _random_split_label_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = materialize(_model_table(spark, sf_dir), "model-table")
+    return _label_rate(random_split(written))
 
 
 def _split_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,9 +223,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "event_active_days": lambda s, d: with_active_days(_clean(s, d)).select(
             *EVENT_KEY, "daysInteracting"
         ),
-        "event_rates": lambda s, d: with_rates(
-            with_active_days(with_user_totals(_clean(s, d)))
-        ).select(*EVENT_KEY, *RATES),
+        "event_rates": _event_rates,
         "user_day_rollup": lambda s, d: user_day_rollup(_clean(s, d)),
         "activity_enriched": _enriched("all"),
         "activity_last_week": _enriched("last_week"),
@@ -238,8 +250,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "activity_counts": lambda s, d: activity_counts(_clean(s, d)),
         "model_input": _model_input,
         "split_users": _split_users,
-        "split_label_rate": _label_rate(hash_split),
-        "random_split_label_rate": _label_rate(random_split),
+        "split_label_rate": lambda s, d: _label_rate(hash_split(_model_table(s, d))),
+        "random_split_label_rate": _random_split_label_rate,
         "weighted_f1_labels": _weighted_f1_labels,
         "logistic_scores": _scores("logistic regression"),
         "tree_scores": _scores("decision tree"),

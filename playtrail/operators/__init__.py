@@ -3,6 +3,8 @@
 from playtrail.operators.clean import clean_activity, preview
 from playtrail.operators.enrich import (
     enrich_activity,
+    user_bounds,
+    user_totals,
     with_active_days,
     with_calendar,
     with_flags,
@@ -35,7 +37,9 @@ __all__ = [
     "preview",
     "top_pages",
     "user_activity",
+    "user_bounds",
     "user_day_rollup",
+    "user_totals",
     "with_active_days",
     "with_calendar",
     "with_flags",

@@ -1,9 +1,11 @@
-"""Event-grain columns: each returns all given events with columns added.
-
-The `with_user_*` operators aggregate the events they are given and attach the
-result, so applied to a segment they describe that segment. To get everything
-at once use `enrich_activity`: it needs one roll-up and one join where a chain
-of single operators needs one of each per step.
+"""Event-grain columns: each `with_` operator returns all given events with
+columns added.
+
+`user_bounds`, `user_totals` and `active_days` describe the users of the events
+they are given, so applied to a segment they describe that segment. Each
+`with_user_bounds` and the like shuffles the events once to attach its columns;
+to attach several, pass the tables to `attach_per_user` together. And
+`enrich_activity` gives everything at once from a single roll-up.
 """
 
 from __future__ import annotations
@@ -46,28 +48,29 @@ def _bounds_columns() -> dict[str, Column]:
     return bounds | {name: F.date_add(last_day, -days) for name, days in LOOKBACKS.items()}
 
 
-def with_user_bounds(events: DataFrame) -> DataFrame:
-    """First and last moment of the user, the days between, look-back dates."""
-    users = (
-        events.groupBy("userId")
-        .agg(F.min("ts").alias("firstTs"), F.max("ts").alias("lastTs"))
-        .withColumns(_bounds_columns())
-        .drop("firstTs", "lastTs")
-    )
-    return attach_per_user(events, users)
+def user_bounds(events: DataFrame) -> DataFrame:
+    """First and last moment of each user, the days between, look-back dates."""
+    users = events.groupBy("userId").agg(F.min("ts").alias("firstTs"), F.max("ts").alias("lastTs"))
+    return users.withColumns(_bounds_columns()).drop("firstTs", "lastTs")
 
 
-def with_user_totals(events: DataFrame) -> DataFrame:
+def user_totals(events: DataFrame) -> DataFrame:
     """Per-user sums of the page flags, `churned` among them."""
     totals = {"churned": "churn"} | USER_TOTALS
-    users = events.groupBy("userId").agg(
+    return events.groupBy("userId").agg(
         *[flag_sum(flag, total) for total, flag in totals.items()]
     )
-    return attach_per_user(events, users)
+
+
+def with_user_bounds(events: DataFrame) -> DataFrame:
+    return attach_per_user(events, user_bounds(events))
+
+
+def with_user_totals(events: DataFrame) -> DataFrame:
+    return attach_per_user(events, user_totals(events))
 
 
 def with_active_days(events: DataFrame) -> DataFrame:
-    """The number of days on which the user was active."""
     return attach_per_user(events, active_days(events))
 
 
@@ -92,5 +95,6 @@ def enrich_activity(activity: DataFrame, segment: str = "all") -> DataFrame:
         .withColumns(_bounds_columns())
         .select(*kept, *[F.col(name + suffix).alias(name) for name in of_segment])
     )
-    events = attach_per_user(with_flags(with_calendar(activity)), users)
-    return SEGMENT_FILTERS[segment](events)
+    # Calendar and flags are added behind the join to keep them out of its shuffle.
+    events = SEGMENT_FILTERS[segment](attach_per_user(activity, users))
+    return with_flags(with_calendar(events))

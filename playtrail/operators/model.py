@@ -72,7 +72,11 @@ def hash_split(
 def random_split(
     table: DataFrame, train_percent: int = TRAIN_PERCENT, seed: int = SEED
 ) -> DataFrame:
-    """Adds `split` by `randomSplit`: reproducible on one layout of the table only."""
+    """Adds `split` by `randomSplit`: reproducible on one layout of the table only.
+
+    The parts are drawn one by one, so the table must be a materialized one: over
+    a plan that runs again differently a user could come out twice or not at all.
+    """
     train, test = table.randomSplit([train_percent / 100, 1 - train_percent / 100], seed=seed)
     return train.withColumn("split", F.lit("train")).unionByName(
         test.withColumn("split", F.lit("test"))

@@ -7,24 +7,29 @@ side, and then joined back.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def attach_per_user(events: DataFrame, users: DataFrame) -> DataFrame:
-    """Left join of one row per user onto the events of that user.
+def attach_per_user(events: DataFrame, *tables: DataFrame) -> DataFrame:
+    """Left join of tables with one row per user onto the events of that user.
+
+    Several tables are joined with each other first, one row per user, so that
+    the events are shuffled once however many there are.
 
     Adaptive execution splits a hot user's events over many tasks, but only
-    where both sides are shuffled for this very join. `users` usually comes out
-    of an aggregation by `userId`, whose partitioning Spark would reuse, so the
-    join also matches on a hash of the user, which makes it shuffle again. That
-    costs one row per user. If the user side turns out small enough Spark
+    where both sides are shuffled for this very join. A user table usually comes
+    out of an aggregation by `userId`, and the events perhaps out of another
+    such join, and Spark would reuse their partitioning. So the join also
+    matches on a hash of the user and of what is attached, which makes it
+    shuffle on its own. If the user side turns out small enough, Spark
     broadcasts it instead, by its own size check.
-
-    Operators can be chained: a later aggregation that needs none of the
-    attached columns is planned without this join.
     """
-    user_hash = {"userHash": F.xxhash64("userId")}
+    users = reduce(lambda left, right: left.join(right, "userId", "full"), tables)
+    attached = F.lit(",".join(users.columns))
+    user_hash = {"userHash": F.xxhash64("userId", attached)}
     return (
         events.withColumns(user_hash)
         .join(users.withColumns(user_hash), ["userId", "userHash"], "left")

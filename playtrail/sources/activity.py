@@ -11,7 +11,8 @@ def read_activity(spark: SparkSession, path: str | list[str], fmt: str = "json")
     """Scan an activity log stored as JSON lines or Parquet.
 
     JSON is read with the declared schema, which saves the extra pass over the
-    data that inference costs. Parquet names its own columns, so there they are
+    data that inference costs; a line that is no JSON becomes a row of nulls,
+    which page reports count and cleaning drops. Parquet names its own columns, so there they are
     checked before use.
     """
     if fmt == "json":

@@ -10,9 +10,11 @@ from logs import log, random_log
 from pyspark.sql import functions as F
 
 from playtrail.operators import (
+    active_days,
     attach_per_user,
     clean_activity,
     enrich_activity,
+    user_totals,
     with_active_days,
     with_calendar,
     with_flags,
@@ -103,15 +105,26 @@ def test_hot_user_is_split(spark, tmp_path):
         rows = joined.groupBy("userId", "n").count()
         assert rows.where("n <> count").count() == 0
         assert joined.agg(F.count("n")).first()[0] == 300_000
-        full = attach_per_user(events, users)
-        full.toArrow()
-        text = full._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in text.split("== Initial Plan ==")[0]
+        again = attach_per_user(joined, users.withColumnRenamed("n", "m"))
+        for frame, joins in ((joined, 1), (again, 2)):
+            frame.toArrow()
+            text = frame._jdf.queryExecution().executedPlan().toString()
+            assert text.split("== Initial Plan ==")[0].count("SortMergeJoin(skew=true)") == joins
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
 
 
+def test_tables_attached_together_shuffle_events_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    random_log(spark, 8).write.parquet(path)
+    cleaned = clean_activity(spark.read.parquet(path))
+    one_by_one = with_active_days(with_user_totals(cleaned))
+    together = attach_per_user(cleaned, user_totals(cleaned), active_days(cleaned))
+    assert together.columns == one_by_one.columns
+    assert sorted(map(str, together.collect())) == sorted(map(str, one_by_one.collect()))
+
+
 def test_chained_operators_need_one_scan_each(spark, tmp_path):
     path = str(tmp_path / "log")
     random_log(spark, 7).write.parquet(path)

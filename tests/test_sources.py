@@ -4,6 +4,7 @@ import pytest
 from logs import event, log, random_log
 from pyspark.sql import functions as F
 
+from playtrail.operators import clean_activity, page_frequency
 from playtrail.schema import ACTIVITY, ACTIVITY_COLUMNS
 from playtrail.sources import (
     materialize,
@@ -46,6 +47,14 @@ def test_json_may_lack_fields_and_hold_others(spark, tmp_path):
     assert rows["8"].page is None
 
 
+def test_a_line_that_is_no_json_is_a_row_of_nulls(spark, tmp_path):
+    path = tmp_path / "log.json"
+    path.write_text('{"userId":"7","sessionId":1,"ts":5,"page":"Home"}\nnot json\n')
+    raw = read_activity(spark, str(path))
+    assert [(r.page, r.n) for r in page_frequency(raw).collect()] == [(None, 1), ("Home", 1)]
+    assert [r.userId for r in clean_activity(raw).collect()] == ["7"]
+
+
 def test_parquet_without_required_columns_is_refused(spark, tmp_path):
     path = str(tmp_path / "short")
     log(spark, [event()]).drop("level").write.parquet(path)
