@@ -51,6 +51,7 @@ from playtrail.plans.churn_study import model_input, train  # noqa: E402
 from playtrail.plans.features import user_features, user_measures  # noqa: E402
 from playtrail.schema import (  # noqa: E402
     ACTIVITY_COLUMNS,
+    CHANGES,
     INTENSITY_METRICS,
     LOOKBACKS,
     MODEL_FEATURES,
@@ -75,6 +76,7 @@ TOP_K = 5
 EVENT_KEY = ["userId", "sessionId", "ts", "page"]
 BOUNDS = ["endDate", "startDate", "durationDays", *LOOKBACKS]
 TOTALS = ["churned", *USER_TOTALS]
+CHANGE_SIDES = [rate + side for rate in CHANGES.values() for side in ("LastWeek", "BeforeLastWeek")]
 
 
 # --- inputs -----------------------------------------------------------------
@@ -143,13 +145,7 @@ def _enriched(segment: str):
 
 
 def _activity_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        rate + suffix
-        for rate in ("songsListenedPerDay", "songsAddedToPlaylistPerDay")
-        for suffix in ("LastWeek", "BeforeLastWeek")
-    ]
-    changes = ["playlistActivityChange", "listeningActivityChange"]
-    return _users(spark, sf_dir).select("userId", *parts, *changes)
+    return _users(spark, sf_dir).select("userId", *CHANGE_SIDES, *CHANGES)
 
 
 def _user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,20 +452,23 @@ def _sql_enriched(segment: str) -> str:
         *BOUNDS,
         *TOTALS,
         "daysInteracting",
-        _SQL_RATES,
+        *RATES,
     ]
+    source = "enriched"
     if segment == "all":
-        columns.append(
-            "coalesce(CAST(daysInteracting AS DOUBLE) / nullif(durationDays, 0) * 100, 0.0)"
-            " AS intensityOfInteraction"
-        )
-    return f"""{_ON_BOUNDED},
+        whole = ["intensityOfInteraction", *CHANGE_SIDES, *CHANGES]
+        columns += whole
+        source += f" JOIN (SELECT userId, {', '.join(whole)} FROM change) AS c USING (userId)"
+    return f"""{_ON_FEATURES},
 chosen AS (
   SELECT *, {totals},
     count(DISTINCT eventDay) OVER u AS daysInteracting
   FROM bounded WHERE {_SQL_SEGMENT[segment]} WINDOW u AS (PARTITION BY userId)
+),
+enriched AS (
+  SELECT *, {_SQL_RATES} FROM chosen
 )
-SELECT {", ".join(columns)} FROM chosen"""
+SELECT {", ".join(columns)} FROM {source}"""
 
 
 def _sql_user_window(columns: str) -> str:
@@ -531,9 +530,7 @@ FROM flagged GROUP BY userId, eventDay""",
         "user_intensity": f"""{_sql_users("all")}
 SELECT userId, daysInteracting, durationDays, intensityOfInteraction FROM chosen""",
         "activity_change": f"""{_ON_FEATURES}
-SELECT userId, songsListenedPerDayLastWeek, songsListenedPerDayBeforeLastWeek,
-  songsAddedToPlaylistPerDayLastWeek, songsAddedToPlaylistPerDayBeforeLastWeek,
-  playlistActivityChange, listeningActivityChange FROM change""",
+SELECT userId, {", ".join([*CHANGE_SIDES, *CHANGES])} FROM change""",
         "user_features": f"{_ON_FEATURES} SELECT * FROM features",
         "page_frequency": f"{_ON_LOG} {_SQL_PAGES}",
         "top_pages": f"{_ON_LOG} {_SQL_PAGES} ORDER BY n DESC, page NULLS FIRST LIMIT {TOP_K}",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from playtrail.schema import RATES
+from playtrail.schema import CHANGES, RATES
 
 
 def rate_columns(suffix: str = "") -> dict[str, Column]:
@@ -31,11 +31,7 @@ def intensity() -> Column:
 
 def change_columns() -> dict[str, Column]:
     """Last week's daily rate over the daily rate of all earlier weeks."""
-
-    def change(rate: str) -> Column:
-        return F.expr(f"try_divide({rate}LastWeek, {rate}BeforeLastWeek)")
-
     return {
-        "playlistActivityChange": change("songsAddedToPlaylistPerDay"),
-        "listeningActivityChange": change("songsListenedPerDay"),
+        change: F.expr(f"try_divide({rate}LastWeek, {rate}BeforeLastWeek)")
+        for change, rate in CHANGES.items()
     }

@@ -24,7 +24,7 @@ from playtrail.functions import (
 from playtrail.operators.per_user import attach_per_user
 from playtrail.operators.rollup import active_days, user_activity, user_day_rollup
 from playtrail.operators.segments import SEGMENT_FILTERS
-from playtrail.schema import LOOKBACKS, RATES, USER_TOTALS, segment_suffix
+from playtrail.schema import CHANGES, LOOKBACKS, RATES, USER_TOTALS, segment_suffix
 
 
 def with_calendar(events: DataFrame) -> DataFrame:
@@ -83,13 +83,15 @@ def enrich_activity(activity: DataFrame, segment: str = "all") -> DataFrame:
     """Cleaned events of a segment with every derived column.
 
     Calendar parts, flags, bounds, `churned`, and the user's totals, active
-    days and rates within the segment. The whole history also has intensity.
+    days and rates within the segment. The whole history also has intensity, and
+    the change ratios with the rates of both segments they compare.
     """
     suffix = segment_suffix(segment)
     of_segment = [*USER_TOTALS, "daysInteracting", *RATES]
     kept = ["userId", "churned", *_bounds_columns()]
     if segment == "all":
-        kept.append("intensityOfInteraction")
+        kept += ["intensityOfInteraction", *CHANGES]
+        kept += [rate + side for rate in CHANGES.values() for side in ("LastWeek", "BeforeLastWeek")]
     users = (
         user_activity(user_day_rollup(activity))
         .withColumns(_bounds_columns())

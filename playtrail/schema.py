@@ -67,6 +67,12 @@ RATES = {
     "rolledAdvertsPerSong": ("rolledAdverts", "songsListened"),
 }
 
+# Change ratio -> the rate whose last week it compares with before.
+CHANGES = {
+    "playlistActivityChange": "songsAddedToPlaylistPerDay",
+    "listeningActivityChange": "songsListenedPerDay",
+}
+
 # Look-back dates and the number of days each lies before a
 # user's last day. The first one separates the two segments.
 LOOKBACKS = {

@@ -24,7 +24,7 @@ from playtrail.operators import (
 )
 from playtrail.operators.segments import SEGMENT_FILTERS
 from playtrail.plans import user_measures
-from playtrail.schema import PAGE_FLAGS, RATES, SEGMENTS, USER_TOTALS
+from playtrail.schema import CHANGES, PAGE_FLAGS, RATES, SEGMENTS, USER_TOTALS
 
 SEEDS = [1, 2, 3]
 
@@ -76,7 +76,10 @@ def test_single_operators_chain_to_the_combined_one(spark, segment):
     combined = enrich_activity(cleaned, segment)
     # `churned` is of the whole history in one and of the segment in the other.
     shared = [c for c in chained.columns if c != "churned"]
-    assert set(combined.columns) - set(chained.columns) <= {"intensityOfInteraction"}
+    more = {"intensityOfInteraction", *CHANGES}
+    more |= {rate + side for rate in CHANGES.values() for side in ("LastWeek", "BeforeLastWeek")}
+    extra = more if segment == "all" else set()
+    assert set(combined.columns) - set(chained.columns) == extra
     left = oracle.sorted_rows(shared, [tuple(r) for r in chained.select(shared).collect()])
     right = oracle.sorted_rows(shared, [tuple(r) for r in combined.select(shared).collect()])
     assert left == right
