@@ -32,6 +32,6 @@ def attach_per_user(events: DataFrame, *tables: DataFrame) -> DataFrame:
     user_hash = {"userHash": F.xxhash64("userId", attached)}
     return (
         events.withColumns(user_hash)
-        .join(users.withColumns(user_hash), ["userId", "userHash"], "left")
+        .join(users.withColumns(user_hash), ["userHash", "userId"], "left")
         .drop("userHash")
     )

@@ -95,20 +95,29 @@ def test_materialized_table_no_longer_depends_on_its_source(spark):
     assert all(shared_folder(spark) in path for path in table.inputFiles())
 
 
-def test_cluster_without_a_shared_folder_is_refused():
-    class Conf:
-        def get(self, key, default):
-            return default
+class BareSession:
+    """A session that names no shared folder."""
+
+    def __init__(self, master):
+        self.master = master
+        self.folder = None
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return default
 
-    class Context:
-        master = "yarn"
+    def getCheckpointDir(self):
+        return self.folder
 
-        def getCheckpointDir(self):
-            return None
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
-    class Session:
-        conf = Conf()
-        sparkContext = Context()
 
+def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+        shared_folder(BareSession("yarn"))
+
+
+def test_local_session_without_a_folder_gets_one_and_keeps_it():
+    session = BareSession("local[2]")
+    assert shared_folder(session) == shared_folder(session) == session.folder
