@@ -55,7 +55,11 @@ def user_bounds(events: DataFrame) -> DataFrame:
 
 
 def user_totals(events: DataFrame) -> DataFrame:
-    """Per-user sums of the page flags, `churned` among them."""
+    """Per-user sums of the page flags, `churned` among them.
+
+    Like the rest, `churned` counts within the given events: a label of the whole
+    history is taken before a segment is cut, as `enrich_activity` does.
+    """
     totals = {"churned": "churn"} | USER_TOTALS
     return events.groupBy("userId").agg(
         *[flag_sum(flag, total) for total, flag in totals.items()]
