@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from playtrail.llm.decontamination import find_overlaps
+from playtrail.llm.html_text import extract_main_text
 from playtrail.llm.packing import pack_documents
+from playtrail.llm.quality import quality_scores
 from playtrail.llm.secrets import find_secrets
 from playtrail.llm.sharding import shard_documents
 from playtrail.llm.simhash import simhash_groups
@@ -28,15 +31,27 @@ def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return token_file_digest(spark, path)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -44,7 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_best_fit_packing, op2_jump_sharding, op4_secret_scan, op7_token_file, op10_simhash)
+        for f in (op1_best_fit_packing, op2_jump_sharding, op3_decontamination, op4_secret_scan, op5_quality, op7_token_file, op8_html_text, op10_simhash)
     }
 
 
