@@ -71,6 +71,15 @@ from playtrail.sources import (  # noqa: E402
     read_activity,
 )
 
+try:
+    import corpus_pipeline
+    from playtrail.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The training-data operators can be left out; any other missing module is an error.
+    if missing.name not in ("corpus_pipeline", "playtrail.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOP_K = 5
 EVENT_KEY = ["userId", "sessionId", "ts", "page"]
@@ -200,6 +209,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return _activity_queries()
+    return _activity_queries() | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_json_activity": _scan_json_activity,
         "scan_parquet_activity": _scan_parquet_activity,
@@ -493,6 +508,13 @@ _KEY = ", ".join(EVENT_KEY)
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return _activity_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _activity_sql() | llm_queries.oracle_sql() | pipeline
+
+
+def _activity_sql() -> dict[str, str]:
     return {
         "scan_json_activity": f"{_ON_LOG} SELECT * FROM log",
         "scan_parquet_activity": f"{_ON_LOG} SELECT * FROM log",
