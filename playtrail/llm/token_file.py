@@ -128,14 +128,19 @@ class Decoder:
         return np.split(flat, np.cumsum(tokens)[:-1])
 
 
-def token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """`doc_id` and its ids with the end id, as little-endian unsigned 32-bit integers."""
+def id_type(tokenizer: str, end_id: int) -> str:
+    """Little-endian unsigned integers that hold every id: 16 bits if they suffice, else 32."""
+    return "<u2" if max(encoder(tokenizer).vocabulary_size - 1, end_id) < 1 << 16 else "<u4"
+
+
+def token_ids(docs: DataFrame, tokenizer: str, end_id: int, dtype: str = "<u4") -> DataFrame:
+    """`doc_id` and its ids with the end id, as integers of that type."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = int(end_id).to_bytes(4, "little")
+        end = np.array([end_id], dtype).tobytes()
         encode = encoder(tokenizer).encode
         for batch in batches:
-            data = [ids.tobytes() + end for ids in encode(batch.column(1))]
+            data = [ids.astype(dtype).tobytes() + end for ids in encode(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "ids"]
             )
@@ -145,13 +150,13 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     )
 
 
-def id_counts(ids: DataFrame) -> DataFrame:
+def id_counts(ids: DataFrame, dtype: str = "<u4") -> DataFrame:
     """How often each id occurs in the whole table: (id, n)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            data = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
+            data = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype)
             some = np.bincount(data, minlength=len(total))
             some[: len(total)] += total
             total = some
@@ -161,11 +166,11 @@ def id_counts(ids: DataFrame) -> DataFrame:
     return ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write_token_file(ids: DataFrame, path: str, limit: int = LIMIT) -> None:
+def write_token_file(ids: DataFrame, path: str, limit: int = LIMIT, dtype: str = "<u4") -> None:
     """Write the header and the blocks of (doc_id, ids), documents in ascending order."""
     spark = ids.sparkSession
     # One row per id of the vocabulary, so its size is the tokenizer's, not the corpus's.
-    counted = id_counts(ids).collect()
+    counted = id_counts(ids, dtype).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=-1) + 1, np.int64)
     for row in counted:
         counts[row["id"]] = row["n"]
@@ -176,6 +181,7 @@ def write_token_file(ids: DataFrame, path: str, limit: int = LIMIT) -> None:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, start = TaskContext.get().partitionId(), 0, 0
+        width = np.dtype(dtype).itemsize
         names = [x.split()[0] for x in BLOCKS.split(", ")]
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         kinds += [pa.int64(), pa.binary(), pa.binary()]
@@ -184,11 +190,11 @@ def write_token_file(ids: DataFrame, path: str, limit: int = LIMIT) -> None:
             docs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             for i, (doc_id, data) in enumerate(docs):
                 held.append((doc_id, data))
-                size += len(data) // 4
+                size += len(data) // width
                 if size >= BLOCK_TOKENS or i + 1 == len(docs):
-                    tokens = np.frombuffer(b"".join(d for _, d in held), "<u4")
+                    tokens = np.frombuffer(b"".join(d for _, d in held), dtype)
                     marks, payload = encode_block(tokens, lengths, codes)
-                    sizes = [len(d) // 4 for _, d in held]
+                    sizes = [len(d) // width for _, d in held]
                     rows.append((part, block, start, [d for d, _ in held], sizes, size, marks, payload))
                     block, start, held, size = block + 1, start + size, [], 0
             if rows:
@@ -254,7 +260,8 @@ def token_file_digest(spark: SparkSession, path: str) -> DataFrame:
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = 2) -> str:
     """Tokenize, write the file, and return its path."""
-    ids = written(token_ids(docs, tokenizer, end_id), "token-ids", compression="zstd")
+    dtype = id_type(tokenizer, end_id)
+    ids = written(token_ids(docs, tokenizer, end_id, dtype), "token-ids", compression="zstd")
     path = scratch_path(docs.sparkSession, "token-file")
-    write_token_file(ids, path)
+    write_token_file(ids, path, dtype=dtype)
     return path
