@@ -29,12 +29,12 @@ from playtrail.operators import (  # noqa: E402
     page_share,
     preview,
     top_pages,
+    user_activity,
     user_day_rollup,
-    user_totals,
     with_active_days,
     with_calendar,
+    with_churned,
     with_flags,
-    with_rates,
     with_user_bounds,
     with_user_totals,
 )
@@ -122,8 +122,8 @@ def _scan_parquet_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _clean(spark, sf_dir)
-    attached = attach_per_user(events, user_totals(events), active_days(events))
-    return with_rates(attached).select(*EVENT_KEY, *RATES)
+    rates = user_activity(user_day_rollup(events)).select("userId", *RATES)
+    return attach_per_user(events, rates).select(*EVENT_KEY, *RATES)
 
 
 def _user_rates(segment: str):
@@ -230,6 +230,7 @@ def _activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_totals_window": lambda s, d: with_user_totals(_clean(s, d)).select(
             *EVENT_KEY, *TOTALS
         ),
+        "event_churned": lambda s, d: with_churned(_clean(s, d)).select(*EVENT_KEY, "churned"),
         "active_days": lambda s, d: active_days(_clean(s, d)),
         "event_active_days": lambda s, d: with_active_days(_clean(s, d)).select(
             *EVENT_KEY, "daysInteracting"
@@ -530,6 +531,7 @@ SELECT {_KEY}, level, {", ".join(PAGE_FLAGS)}, payingUser,
 FROM flagged""",
         "user_bounds": f"{_ON_BOUNDED} SELECT {_KEY}, {', '.join(BOUNDS)} FROM bounded",
         "user_totals_window": _sql_user_window(_SQL_EVENT_TOTALS),
+        "event_churned": f"{_ON_BOUNDED} SELECT {_KEY}, churned FROM bounded",
         "active_days": f"""{_ON_FLAGGED}
 SELECT userId, count(DISTINCT eventDay) AS daysInteracting FROM flagged GROUP BY userId""",
         "event_active_days": _sql_user_window(

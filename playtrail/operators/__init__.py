@@ -7,6 +7,7 @@ from playtrail.operators.enrich import (
     user_totals,
     with_active_days,
     with_calendar,
+    with_churned,
     with_flags,
     with_rates,
     with_user_bounds,
@@ -42,6 +43,7 @@ __all__ = [
     "user_totals",
     "with_active_days",
     "with_calendar",
+    "with_churned",
     "with_flags",
     "with_rates",
     "with_user_bounds",

@@ -23,6 +23,7 @@ def clean_activity(log: DataFrame) -> DataFrame:
     return log.where(known).select(*ACTIVITY_COLUMNS)
 
 
+# The columns of the preview.
 PREVIEW_COLUMNS = ["level", "status", "itemInSession", "userAgent", "page", "sessionId", "length"]
 
 

@@ -58,7 +58,7 @@ def user_totals(events: DataFrame) -> DataFrame:
     """Per-user sums of the page flags, `churned` among them.
 
     Like the rest, `churned` counts within the given events: a label of the whole
-    history is taken before a segment is cut, as `enrich_activity` does.
+    history is taken before a segment is cut, by `with_churned`.
     """
     totals = {"churned": "churn"} | USER_TOTALS
     return events.groupBy("userId").agg(
@@ -70,8 +70,20 @@ def with_user_bounds(events: DataFrame) -> DataFrame:
     return attach_per_user(events, user_bounds(events))
 
 
+def user_label(events: DataFrame) -> DataFrame:
+    """Cancellations of each user within the given events."""
+    return events.groupBy("userId").agg(flag_sum("churn", "churned"))
+
+
+def with_churned(events: DataFrame) -> DataFrame:
+    """The label on every event; applied before a segment is cut, it is of the whole history."""
+    return attach_per_user(events, user_label(events))
+
+
 def with_user_totals(events: DataFrame) -> DataFrame:
-    return attach_per_user(events, user_totals(events))
+    """Totals within the events; a label they already carry stays as it is."""
+    totals = user_totals(events)
+    return attach_per_user(events, totals.drop("churned") if "churned" in events.columns else totals)
 
 
 def with_active_days(events: DataFrame) -> DataFrame:

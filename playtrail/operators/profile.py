@@ -44,13 +44,16 @@ def page_share(log: DataFrame, exclude: str | None = None) -> DataFrame:
 def activity_counts(activity: DataFrame) -> DataFrame:
     """Number of events, of users, and of calendar days with any event.
 
-    Counted over (user, day) rows, not events, to keep the distinct counts small.
+    Users and days are each grouped from the same (user, day) rows, so one
+    shuffle of those serves both, and no distinct count multiplies them.
     """
-    return user_day_rollup(activity).agg(
-        F.coalesce(F.sum("events"), F.lit(0)).alias("events"),
-        F.count_distinct("userId").alias("users"),
-        F.count_distinct("day").alias("calendarDays"),
-    )
+    rollup = user_day_rollup(activity)
+    users = rollup.groupBy("userId").agg(F.sum("events").alias("n"))
+    # The sum keeps both branches on the same columns of the roll-up.
+    days = rollup.groupBy("day").agg(F.sum("events").alias("n")).where(F.col("n") > 0)
+    return users.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("events"), F.count("userId").alias("users")
+    ).withColumn("calendarDays", days.agg(F.count("day")).scalar())
 
 
 def cohort_profile(users: DataFrame, metrics: list[str], segment: str = "all") -> DataFrame:

@@ -4,6 +4,7 @@ from playtrail.sources.activity import (
     activity_from_events,
     missing_columns,
     read_activity,
+    rejected_activity,
     require_columns,
     schema_report,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "missing_columns",
     "new_shared_path",
     "read_activity",
+    "rejected_activity",
     "require_columns",
     "schema_report",
     "shared_folder",

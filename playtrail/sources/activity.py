@@ -2,27 +2,118 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DoubleType,
+    FloatType,
+    IntegralType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from playtrail.schema import ACTIVITY, ACTIVITY_COLUMNS
 
+REQUIRED = ("userId", "sessionId", "ts", "page")
+CORRUPT = "_corrupt_record"
+# Every field as the text it stands as, so that no value is lost before it is looked at.
+ACTIVITY_TEXT = StructType(
+    [*(StructField(name, StringType()) for name in ACTIVITY_COLUMNS), StructField(CORRUPT, StringType())]
+)
 
-def read_activity(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
+
+def read_activity(
+    spark: SparkSession, path: str | list[str], fmt: str = "json", on_reject: str = "fail"
+) -> DataFrame:
     """Scan an activity log stored as JSON lines or Parquet.
 
-    JSON is read with the declared schema, which saves the extra pass over the
-    data that inference costs; a line that is no JSON becomes a row of nulls,
-    which page reports count and cleaning drops. Parquet names its own columns, so there they are
-    checked before use.
+    A value that does not fit its declared type, or a line that is no JSON, makes
+    a *rejected* row. Numbers written as text and whole numbers written as floats
+    fit. With `on_reject="fail"` a query over such a row raises an error; with
+    `"null"` the values become nulls, as in `rejected_activity`, which lists those
+    rows. A required field that no row of the log holds is an error either way.
     """
+    if on_reject not in ("fail", "null"):
+        raise ValueError(f"unknown on_reject {on_reject!r}; expected 'fail' or 'null'")
+    typed = _typed(spark, path, fmt)
+    if on_reject == "fail" and "rejected" in typed.columns:
+        # In the filter, so that no pruning of columns can leave it out.
+        error = F.raise_error(F.concat(F.lit("rejected activity row: "), "rejected"))
+        typed = typed.where(F.when(F.col("rejected").isNull(), True).otherwise(error.cast("boolean")))
+    return typed.select(*ACTIVITY_COLUMNS)
+
+
+def rejected_activity(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
+    """The rows that `read_activity` rejects, with what is wrong as `rejected`."""
+    typed = _typed(spark, path, fmt)
+    if "rejected" not in typed.columns:
+        typed = typed.withColumn("rejected", F.lit(None).cast("string"))
+    return typed.where(F.col("rejected").isNotNull())
+
+
+def _typed(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
+    """The log by its declared types, and `rejected` where a value could fail to fit."""
+    paths = [path] if isinstance(path, str) else list(path)
     if fmt == "json":
-        return spark.read.schema(ACTIVITY).json(path)
+        text = spark.read.schema(ACTIVITY_TEXT).json(paths)
+        _require_fields(text)
+        return _cast_all(text)
     if fmt == "parquet":
-        paths = [path] if isinstance(path, str) else path
-        return require_columns(spark.read.parquet(*paths)).select(*ACTIVITY_COLUMNS)
+        # Each path by its own schema; a merged one would hide what a single path lacks.
+        frames = [_cast_all(spark.read.parquet(p)) for p in paths]
+        if any("rejected" in f.columns for f in frames) or len(frames) > 1:
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return frames[0]
     raise ValueError(f"unknown activity format {fmt!r}; expected 'json' or 'parquet'")
 
 
+def _cast_all(df: DataFrame) -> DataFrame:
+    held = {f.name: f.dataType for f in df.schema.fields}
+    absent = [f"{f.name} {f.dataType.simpleString()}" for f in ACTIVITY.fields if f.name not in held]
+    if absent:
+        raise ValueError("activity log lacks: " + ", ".join(absent))
+    values, wrong = [], []
+    for field in ACTIVITY.fields:
+        value = F.col(field.name)
+        if held[field.name] != field.dataType:
+            value = _cast(field)
+            if not isinstance(held[field.name], IntegralType | FloatType) or isinstance(field.dataType, LongType):
+                text = F.concat(F.lit(f"{field.name}="), F.col(field.name).cast("string"))
+                wrong.append(F.when(F.col(field.name).isNotNull() & value.isNull(), text))
+        values.append(value.alias(field.name))
+    if CORRUPT in held:
+        wrong.insert(0, F.when(F.col(CORRUPT).isNotNull(), F.lit("no JSON")))
+    if wrong:
+        reasons = F.concat_ws(", ", *wrong)
+        values.append(F.when(reasons != "", reasons).alias("rejected"))
+    return df.select(*values)
+
+
+def _cast(field: StructField) -> Column:
+    """The value by its declared type, null where it does not fit."""
+    value = F.col(field.name).cast("string")
+    if not isinstance(field.dataType, LongType):
+        return value.try_cast(field.dataType)
+    number = value.try_cast(DoubleType())
+    whole = F.when(number == F.floor(number), number.try_cast(LongType()))
+    return F.coalesce(value.try_cast(LongType()), whole)
+
+
+def _require_fields(text: DataFrame) -> None:
+    """Raise if no row holds a required field; each is looked for until the first such row."""
+    if not text.take(1):
+        return
+    lacking = [
+        name for name in REQUIRED if not text.where(F.col(name).isNotNull()).select(*REQUIRED).take(1)
+    ]
+    if lacking:
+        raise ValueError("activity log lacks: " + ", ".join(lacking))
+
+
 def missing_columns(df: DataFrame) -> list[str]:
     """Declared columns the frame lacks or holds with another type."""
     held = {field.name: field.dataType for field in df.schema.fields}

@@ -17,6 +17,7 @@ from playtrail.operators import (
     user_totals,
     with_active_days,
     with_calendar,
+    with_churned,
     with_flags,
     with_rates,
     with_user_bounds,
@@ -70,12 +71,11 @@ def test_rollup_equals_windows(spark, seed, segment):
 @pytest.mark.parametrize("segment", SEGMENTS)
 def test_single_operators_chain_to_the_combined_one(spark, segment):
     cleaned = clean_activity(random_log(spark, 4)).cache()
-    bounded = with_user_bounds(with_flags(with_calendar(cleaned)))
+    bounded = with_churned(with_user_bounds(with_flags(with_calendar(cleaned))))
     chosen = SEGMENT_FILTERS[segment](bounded)
     chained = with_rates(with_active_days(with_user_totals(chosen)))
     combined = enrich_activity(cleaned, segment)
-    # `churned` is of the whole history in one and of the segment in the other.
-    shared = [c for c in chained.columns if c != "churned"]
+    shared = chained.columns
     more = {"intensityOfInteraction", *CHANGES}
     more |= {rate + side for rate in CHANGES.values() for side in ("LastWeek", "BeforeLastWeek")}
     extra = more if segment == "all" else set()

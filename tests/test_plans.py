@@ -14,7 +14,7 @@ from playtrail.schema import VOLUME_METRICS
 from playtrail.sources import read_activity
 
 SF_DIR = "/root/testdata/sf0.001"
-LAZY = sorted(registry.oracle_sql())
+LAZY = sorted(registry._activity_sql())
 
 
 def plan(df) -> str:
@@ -79,3 +79,13 @@ def test_rollup_combines_before_the_shuffle(stored):
     text = plan(user_day_rollup(clean_activity(stored)))
     assert text.count("HashAggregate") == 2
     assert "SortAggregate" not in text
+
+
+def test_event_rates_scan_the_log_twice_and_attach_once(spark):
+    text = plan(registry.queries()["event_rates"](spark, SF_DIR))
+    assert text.count("FileScan") == 2 and len(re.findall(r"\w*Join ", text)) == 1
+
+
+def test_counts_expand_no_rows(spark):
+    text = plan(registry.queries()["activity_counts"](spark, SF_DIR))
+    assert "Expand" not in text

@@ -11,6 +11,7 @@ from playtrail.sources import (
     missing_columns,
     new_shared_path,
     read_activity,
+    rejected_activity,
     require_columns,
     schema_report,
     shared_folder,
@@ -39,20 +40,62 @@ def test_several_paths_are_one_log(spark, tmp_path):
     assert {r.userId for r in read_activity(spark, paths, "parquet").collect()} == {"a", "b"}
 
 
-def test_json_may_lack_fields_and_hold_others(spark, tmp_path):
+def written_lines(tmp_path, *lines):
     path = tmp_path / "log.json"
-    path.write_text('{"userId":"7","ts":5,"page":"Home","registration":1}\n{"userId":"8"}\n')
-    rows = {r.userId: r for r in read_activity(spark, str(path)).collect()}
-    assert rows["7"].ts == 5 and rows["7"].sessionId is None
-    assert rows["8"].page is None
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
 
 
-def test_a_line_that_is_no_json_is_a_row_of_nulls(spark, tmp_path):
-    path = tmp_path / "log.json"
-    path.write_text('{"userId":"7","sessionId":1,"ts":5,"page":"Home"}\nnot json\n')
-    raw = read_activity(spark, str(path))
-    assert [(r.page, r.n) for r in page_frequency(raw).collect()] == [(None, 1), ("Home", 1)]
-    assert [r.userId for r in clean_activity(raw).collect()] == ["7"]
+def test_json_may_lack_fields_and_hold_others(spark, tmp_path):
+    path = written_lines(
+        tmp_path,
+        '{"userId":"7","sessionId":1,"ts":5,"page":"Home","registration":1}',
+        '{"userId":"8"}',
+    )
+    rows = {r.userId: r for r in read_activity(spark, path).collect()}
+    assert rows["7"].ts == 5 and rows["8"].sessionId is None and rows["8"].page is None
+
+
+@pytest.mark.parametrize(
+    "session, ts", [("12", "1704110400000"), ('"12"', "1.7041104E12"), ("12.0", '"1704110400000"')]
+)
+def test_numbers_as_text_and_whole_floats_are_kept(spark, tmp_path, session, ts):
+    path = written_lines(tmp_path, f'{{"userId":7,"sessionId":{session},"ts":{ts},"page":"Home"}}')
+    (row,) = clean_activity(read_activity(spark, path)).collect()
+    assert (row.userId, row.sessionId, row.ts) == ("7", 12, 1704110400000)
+
+
+def test_a_required_field_that_never_occurs_is_refused(spark, tmp_path):
+    path = written_lines(tmp_path, '{"userId":"7","ts":5,"page":"Home"}')
+    with pytest.raises(ValueError, match="sessionId"):
+        read_activity(spark, path)
+
+
+@pytest.mark.parametrize("bad", ["not json", '{"userId":"8","sessionId":2,"ts":"noon","page":"x"}'])
+def test_rejected_rows_fail_or_are_listed(spark, tmp_path, bad):
+    good = '{"userId":"7","sessionId":1,"ts":5,"page":"Home"}'
+    path = written_lines(tmp_path, good, bad)
+    with pytest.raises(Exception, match="rejected activity row"):
+        read_activity(spark, path).select("page").collect()
+    kept = read_activity(spark, path, on_reject="null")
+    assert kept.count() == 2 and [r.userId for r in clean_activity(kept).collect()] == ["7"]
+    (row,) = rejected_activity(spark, path).collect()
+    assert row.rejected in ("no JSON", "ts=noon")
+
+
+def test_each_parquet_path_is_checked(spark, tmp_path):
+    paths = [str(tmp_path / part) for part in ("a", "b")]
+    log(spark, [event()]).write.parquet(paths[0])
+    log(spark, [event()]).drop("sessionId").write.parquet(paths[1])
+    with pytest.raises(ValueError, match="sessionId"):
+        read_activity(spark, paths, "parquet")
+
+
+def test_narrower_numbers_in_parquet_are_widened(spark, tmp_path):
+    path = str(tmp_path / "narrow")
+    narrow = log(spark, [event()]).withColumn("sessionId", F.col("sessionId").cast("int"))
+    narrow.write.parquet(path)
+    assert dict(read_activity(spark, path, "parquet").dtypes)["sessionId"] == "bigint"
 
 
 def test_parquet_without_required_columns_is_refused(spark, tmp_path):
