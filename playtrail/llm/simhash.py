@@ -52,18 +52,20 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, row: str | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long; with `row`, that column as `row` too."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]],
+                names=["doc_id", "fp", *(["row"] if row else [])],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        compute, "doc_id long, fp long"
+    columns = [F.col("doc_id").cast("long"), F.col("text").cast("string")]
+    return docs.select(*columns, *([F.col(row).alias("row")] if row else [])).mapInArrow(
+        compute, "doc_id long, fp long" + (", row long" if row else "")
     )
 
 
@@ -185,14 +187,19 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 3, tile: int = TILE) -> Da
     return grouped.mapInArrow(link, "a long, b long")
 
 
+def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """The distinct fingerprints with the `root` of their group, the least fingerprint."""
+    roots = components(fingerprint_links(distinct, max_bits))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select(
+        *distinct.columns, F.coalesce("root", "fp").alias("root")
+    )
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = components(fingerprint_links(distinct, max_bits))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(distinct, max_bits)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     groups = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(groups, "fp").select(
@@ -201,14 +208,22 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row of each group: that of its smallest id (any one row without ids)."""
+    """One row of each group: the first of its smallest id, or of its rows without one.
+
+    Rows are told apart by a number that is written with them, so what an id says
+    of other rows, or that it is missing, plays no part.
+    """
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row = "_" + row
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    prints = fingerprints(numbered, shingle, row)
+    distinct = written(prints.groupBy("fp").agg(first.alias("first")), "distinct-fingerprints")
     kept = (
-        simhash_groups(docs, shingle, max_bits)
-        .where("doc_id <=> component_id")
-        .groupBy("doc_id", "component_id")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .select(F.col("doc_id").alias("_kept"))
-    )
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(
-        ["doc_id"]
+        _rooted(distinct, max_bits)
+        .groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.row").alias(row))
     )
+    return numbered.join(kept, row, "left_semi").drop(row)

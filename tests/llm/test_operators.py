@@ -414,6 +414,20 @@ def test_simhash(request, which):
     assert kept == sorted(least.values())
 
 
+def test_near_copies_are_rows_not_ids(llm):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(60)) for w in ("apple", "bear", "cedar", "delta"))
+    rows = [
+        (None, a, 1), (None, b, 1), (None, b, 1), (None, c, 1), (3, c, 1), (2, c, 1),
+        (7, a + "!", 1), (8, d, 1), (8, d.upper(), 1), (8, "other words of a row with that id", 1), (None, None, 1),
+    ]
+    df = llm.createDataFrame(rows, "doc_id long, text string, _row int").repartition(4)
+    prints = [simhash.fingerprint(t) for _, t, _ in rows]
+    assert roots_of(prints, 3) == [0, 1, 1, 3, 3, 3, 0, 7, 7, 9, 10]
+    kept = Counter((r["doc_id"], (r["text"] or "")[:5].lower()) for r in simhash.drop_near_copies(df).collect())
+    assert kept == Counter([(7, "apple"), (None, "bear0"), (2, "cedar"), (8, "delta"), (8, "other"), (None, "")])
+    assert simhash.drop_near_copies(df).columns == df.columns
+
+
 def test_simhash_links_in_large_buckets(llm):
     rng = np.random.default_rng(6)
     base = int(rng.integers(0, 2**63))
