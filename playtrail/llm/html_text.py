@@ -6,8 +6,12 @@ long, punctuated, unlinked text per node speaks for content. Ratios of paths are
 smoothed with those of paths that share their parent, length and punctuation are
 fused into one score, and paths at or above a threshold are content. The article
 is the smallest element that holds most of the content text; all of its blocks
-are returned but for subtrees that are menus, notices and the like by tag or by
-class, since a heading or a list item is part of the article however short.
+are returned, since a heading or a list item is part of the article however short.
+
+Tags and class words of menus, notices and the like are a prior: such a subtree is
+left out unless it holds most of the content, or is only loosely marked (a form, a
+word in a longer class name inside the article) and has most of its text on
+content paths. An article or main element inside one counts for itself.
 
 Defined results: a null or empty page, and one without text, gives an empty text;
 broken markup is read as far as it goes (an open comment or script runs to the
@@ -36,7 +40,7 @@ CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset"
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol"
@@ -54,26 +58,73 @@ DROPPED_WORDS = frozenset(
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}}
 CLOSED_BY |= {"td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table article section div body main aside nav header footer form".split())
+NAMED = frozenset(("article", "main"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+# Elements whose ids are the slugs of their own headings or terms.
+SLUGGED = HEADINGS | frozenset("p li dt dd td th tr pre blockquote figure figcaption summary".split())
+# Words that also name topics: in a longer class name the text's score decides.
+TOPICAL = frozenset(
+    "comment comments consent cookie cookies disclaimer header notice promotion related respond"
+    " replies share sharing social sponsor sponsored subscribe".split()
+)
+ABSENT = frozenset("has no with without".split())
+HOLDERS = frozenset("html body div article main section form center header footer aside fieldset details dialog".split())
 THRESHOLD = 0.25
 SHARE = 0.5
+COVER = 0.9
+KEPT, LOOSE, MARKED = range(3)
 
 
 class Node:
-    __slots__ = ("blocks", "dropped", "name", "parent", "path", "size")
+    __slots__ = ("content", "dropped", "level", "linked", "mark", "name", "parent", "path", "size", "within")
 
-    def __init__(self, name: str, parent: Node | None, label: str, dropped: bool):
-        self.name, self.parent, self.dropped = name, parent, dropped
+    def __init__(self, name: str, parent: Node | None, label: str, mark: int):
+        self.name, self.parent, self.mark = name, parent, mark
         self.path = f"{parent.path}/{label}" if parent else label
-        self.size = 0
+        self.within = name in NAMED or bool(parent and parent.within)
+        self.linked = name == "a" or bool(parent and parent.linked)
+        self.level = (mark > KEPT) + (parent.level if parent else 0)
+        self.dropped = False
+        self.size = self.content = 0
+
+
+def _attributes(more: str) -> list[tuple[str, str]]:
+    found = []
+    for m in CLASS.finditer(more):
+        kind = m[0].lstrip().split("=")[0].strip().lower()
+        found += [(kind, token) for token in "".join(filter(None, m.groups())).lower().split()]
+    return found
 
 
-def _words(more: str) -> list[str]:
-    return [w for m in CLASS.finditer(more) for w in re.split(r"[\s_-]+", "".join(filter(None, m.groups())).lower())]
+def _mark(name: str, tokens: list[tuple[str, str]], node: Node) -> int:
+    """How far tag and class words speak against an element below `node`."""
+    if name in ("html", "body") or name in NAMED:
+        return KEPT
+    if name == "form":
+        return LOOSE
+    if name in DROPPED and not (name == "header" and node.within):
+        return MARKED
+    mark = KEPT
+    in_heading = name in HEADINGS or any(n.name in HEADINGS for n in _upwards(node))
+    for kind, token in tokens:
+        slug = name in SLUGGED or name not in BLOCK or in_heading or name == "section" and node.within
+        if kind == "id" and slug:
+            continue
+        words = [w for w in re.split(r"[_-]+", token) if w]
+        if not ABSENT.isdisjoint(words):
+            continue
+        hits = {w for w in [*words, *map("".join, zip(words, words[1:]))] if w in DROPPED_WORDS}
+        if in_heading or node.within:
+            hits -= {"header", "masthead"}
+        if hits:
+            loose = node.within and len(words) > 1 and hits <= TOPICAL and not hits >= set(words)
+            mark = max(mark, LOOSE if loose else MARKED)
+    return mark
 
 
 def text_nodes(page: str) -> list[tuple[Node | None, str]]:
     """The page's texts with the elements that hold them; (None, "") between blocks."""
-    root = Node("", None, "", False)
+    root = Node("", None, "", KEPT)
     node, found, at = root, [], 0
     while True:
         m = MARKUP.search(page, at)
@@ -110,12 +161,9 @@ def text_nodes(page: str) -> list[tuple[Node | None, str]]:
             if up.name in closes:
                 node = up.parent
             up = up.parent
-        words = _words(m["more"]) if "=" in m["more"] else []
-        inside = any(n.name in ("article", "main") for n in _upwards(node))
-        dropped = (name in DROPPED and not (name == "header" and inside)) or (
-            name not in ("html", "body", "article", "main") and not DROPPED_WORDS.isdisjoint(words)
-        )
-        node = Node(name, node, ".".join([name, *words]), dropped or node.dropped)
+        tokens = _attributes(m["more"]) if "=" in m["more"] else []
+        words = [w for _, token in tokens for w in re.split(r"[_-]+", token)]
+        node = Node(name, node, ".".join([name, *words]), _mark(name, tokens, node))
 
 
 def _upwards(node: Node | None) -> Iterator[Node]:
@@ -129,9 +177,8 @@ def path_scores(texts: list[tuple[Node, str]]) -> dict[str, float]:
     sums: dict[str, list[float]] = {}
     for node, text in texts:
         size = len(text.strip())
-        linked = any(n.name == "a" for n in _upwards(node))
         own = sums.setdefault(node.path, [0, 0, 0, 0])
-        for k, x in enumerate((size, len(PUNCTUATION.findall(text)), size * linked, 1)):
+        for k, x in enumerate((size, len(PUNCTUATION.findall(text)), size * node.linked, 1)):
             own[k] += x
     fused = {
         path: size / n * math.log1p(1 + marks / n) * (1 - linked / size) if size else 0.0
@@ -148,31 +195,82 @@ def path_scores(texts: list[tuple[Node, str]]) -> dict[str, float]:
     return smooth
 
 
+def _weigh(shown: list[tuple[Node, str]], elements: list[Node], scores: dict[str, float], least: float) -> None:
+    """Set each element's length of text, and of text on content paths."""
+    for n in elements:
+        n.size = n.content = 0
+    for node, text in shown:
+        node.size += len(text)
+        node.content += len(text) * (scores[node.path] >= least and scores[node.path] > 0)
+    for n in reversed(elements):  # children come after their parents
+        if n.parent is not None:
+            n.parent.size += n.size
+            n.parent.content += n.content
+
+
+def _settle(elements: list[Node]) -> None:
+    for n in elements:
+        n.dropped = n.mark > KEPT or bool(n.parent and n.parent.dropped)
+
+
+def _overrule(shown: list[tuple[Node, str]], elements: list[Node], threshold: float, share: float) -> None:
+    """Decide which marked subtrees are left out."""
+    scores = path_scores([(n, html.unescape(t)) for n, t in shown])
+    # Named elements below the fewest marks count for themselves.
+    levels = [n.level for n, t in shown if n.within and scores[n.path] > 0]
+    if levels:
+        least = min(levels)
+        for n in elements:
+            if n.name in NAMED and n.level <= least:
+                for up in _upwards(n):
+                    up.mark = KEPT
+    while True:
+        _settle(elements)
+        best = max((scores[n.path] for n, _ in shown if not n.dropped), default=0.0)
+        _weigh(shown, elements, scores, threshold * best)
+        total = elements[0].content
+        named = sum(n.content for n in elements if n.name in NAMED and not n.dropped)
+        freed = [
+            n
+            for n in elements
+            if n.mark > KEPT
+            and not (n.parent and n.parent.dropped)
+            and (n.content > share * total and named <= (1 - COVER) * total or n.mark == LOOSE and n.content > share * n.size)
+        ]
+        if not freed:
+            return
+        for n in freed:
+            n.mark = KEPT
+
+
 def main_text(page: str | None, threshold: float = THRESHOLD, share: float = SHARE) -> str:
     """Blocks of the article, one space for white space, two line breaks between blocks."""
     nodes = text_nodes(page or "")
-    shown = [(n, t) for n, t in nodes if n is not None and not n.dropped and not t.isspace()]
+    shown = [(n, t) for n, t in nodes if n is not None and not t.isspace()]
+    if not shown:
+        return ""
+    known: dict[int, Node] = {}
+    for node, _ in nodes:
+        line = []
+        while node is not None and id(node) not in known:
+            line.append(node)
+            node = node.parent
+        known |= {id(n): n for n in reversed(line)}
+    elements = list(known.values())
+    _overrule(shown, elements, threshold, share)
+    shown = [(n, t) for n, t in shown if not n.dropped]
     if not shown:
         return ""
     scores = path_scores([(n, html.unescape(t)) for n, t in shown])
-    best = max(scores.values())
-    content = [(n, len(t)) for n, t in shown if scores[n.path] >= threshold * best]
-    total = sum(size for _, size in content)
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    chosen = {}
-    for node, size in content:
-        line = list(_upwards(node))
-        for d, n in enumerate(reversed(line)):
-            held[id(n)] = held.get(id(n), 0) + size
-            depth[id(n)], chosen[id(n)] = d, n
+    least = threshold * max(scores.values())
+    _weigh(shown, elements, scores, least)
+    total = elements[0].content
     # The named article if it has most of the content, else the deepest element that has
     # and is no single block.
-    able = [k for k, size in held.items() if size > share * total]
-    named = [k for k in able if chosen[k].name in ("article", "main")]
-    wide = [k for k in able if chosen[k].name not in ("p", "pre", "h1", "h2", "h3", "li", "td") and (
-        chosen[k].name in BLOCK or not chosen[k].name)]
-    article = chosen[max(named or wide or able, key=lambda k: depth[k])]
+    able = [n for n in elements if n.content >= share * total]
+    named = [n for n in able if n.name in NAMED]
+    wide = [n for n in able if n.name not in ("p", "pre", "h1", "h2", "h3", "li", "td") and (n.name in BLOCK or not n.name)]
+    article = (named or wide or able)[-1]
     blocks, block = [], []
     for node, text in [*nodes, (None, "")]:
         if node is not None:

@@ -347,6 +347,34 @@ def test_html(llm):
         assert len(main_text(r["html"])) > 0.5 * len(re.sub("<[^>]*>", "", body))
 
 
+LONG = "A sentence of some length, with marks in it. Another one follows."
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<form action=x>{}</form>",
+        "<div class='content has-sidebar'>{}</div>",
+        "<div class='no-sidebar'>{}</div>",
+        "<div class='layout-with-ads'>{}</div>",
+        "<div class='widget'>{}</div>",
+    ],
+)
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_html_marked_wrappers_keep_their_text(wrap, inner):
+    body = f"<nav><a href=x>Menu</a></nav><{inner}><h1>T</h1><p>{LONG}</p><p>{LONG}</p></{inner}><footer>End.</footer>"
+    assert main_text(f"<body>{wrap.format(body)}</body>") == f"T\n\n{LONG}\n\n{LONG}"
+
+
+def test_html_topic_words_inside_an_article():
+    page = (
+        f"<article><div class='article-header'><h1>T</h1></div><p>{LONG}</p><section id='related-work'>"
+        f"<h2 id='header-files'>H</h2><p>{LONG}</p></section><p>Here <math><mi>q</mi></math><span> </span>is.</p>"
+        f"<div class=ad>Buy, now.</div></article><section class=comments><p>{LONG * 9}</p></section>"
+    )
+    assert main_text(page) == f"T\n\n{LONG}\n\nH\n\n{LONG}\n\nHere q is."
+
+
 def brute_search(rows, asked, k):
     counts = [Counter(words_of(t or "")) for _, t in rows]
     n, mean = len(rows), sum(sum(c.values()) for c in counts) / len(rows)
