@@ -4,9 +4,11 @@ A page is a tree; each text node has a path of tags from the root. Per path the
 length of the text, its punctuation, its links and its number of nodes are summed:
 long, punctuated, unlinked text per node speaks for content. Ratios of paths are
 smoothed with those of paths that share their parent, length and punctuation are
-fused into one score, and paths at or above a threshold are content. The article
-is the smallest element that holds most of the content text; all of its blocks
-are returned, since a heading or a list item is part of the article however short.
+fused into one score, and paths at or above a threshold are content. All text on
+content paths is returned, and so is all other text of the elements that hold it
+together, since a heading or a list item is part of the article however short:
+the named articles where they hold most of the content, else the smallest section
+of the page with nearly all of it.
 
 Tags and class words of menus, notices and the like are a prior: such a subtree is
 left out unless it holds most of the content, or is only loosely marked (a form, a
@@ -265,20 +267,27 @@ def main_text(page: str | None, threshold: float = THRESHOLD, share: float = SHA
     least = threshold * max(scores.values())
     _weigh(shown, elements, scores, least)
     total = elements[0].content
-    # The named article if it has most of the content, else the deepest element that has
-    # and is no single block.
-    able = [n for n in elements if n.content >= share * total]
-    named = [n for n in able if n.name in NAMED]
-    wide = [n for n in able if n.name not in ("p", "pre", "h1", "h2", "h3", "li", "td") and (n.name in BLOCK or not n.name)]
-    article = (named or wide or able)[-1]
-    blocks, block = [], []
+    # The outermost named elements if they have most of the content, else the
+    # smallest section of the page that has nearly all of it.
+    held = [n for n in elements if n.name in NAMED and n.content and not (n.parent and n.parent.within)]
+    if not total:
+        held = elements[:1]
+    elif sum(n.content for n in held) <= share * total:
+        held = [n for n in elements if (n.name in HOLDERS or not n.name) and n.content >= COVER * total][-1:]
+    inside: dict[int, bool] = {id(n): True for n in held}
+    for n in elements:
+        inside[id(n)] = id(n) in inside or bool(n.parent and inside[id(n.parent)])
+    blocks, block, kept = [], [], False
     for node, text in [*nodes, (None, "")]:
         if node is not None:
-            if not node.dropped and article in _upwards(node):
+            if not node.dropped:
                 block.append(text)
-        elif block:
-            blocks.append(" ".join(html.unescape("".join(block)).split()))
-            block = []
+                if not text.isspace():
+                    kept = kept or inside[id(node)] or scores[node.path] >= least > 0
+        else:
+            if kept:
+                blocks.append(" ".join(html.unescape("".join(block)).split()))
+            block, kept = [], False
     return "\n\n".join(b for b in blocks if b)
 
 

@@ -375,6 +375,24 @@ def test_html_topic_words_inside_an_article():
     assert main_text(page) == f"T\n\n{LONG}\n\nH\n\n{LONG}\n\nHere q is."
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div id=content><section><p>{0}</p><p>{0}</p></section><section><p>{0}</p></section></div>",
+        "<div><p>{0}</p><blockquote>{0} {0} {0}</blockquote><p>{0}</p></div>",
+        "<div><p>Short.</p><ul><li>{0}</li><li>{0} {0} {0}</li></ul><p>{0}</p></div>",
+        "<div><h2>H</h2><p>{0}</p><table><tr><td>{0} {0} {0}</td></tr></table><p>{0}</p></div>",
+        "<div><dl><dt>H</dt><dd>{0} {0} {0}</dd></dl><p>{0}</p></div>",
+        "<main><article><h2>A</h2><p>{0} {0}</p></article><article><h2>B</h2><p>{0}</p></article></main>",
+        "<article><p>{0}</p><p>{0}</p><p>{0}</p></article><div><p>{0} <b>Bold.</b> {0}</p></div>",
+    ],
+)
+def test_html_keeps_all_content_paths(page):
+    page = page.format(LONG)
+    want = [" ".join(re.sub("</?b>", "", t).split()) for t in re.split("(?:<(?!/?b>)[^>]*>)+", page)]
+    assert main_text("<body><nav>Menu</nav>" + page) == "\n\n".join(filter(None, want))
+
+
 def brute_search(rows, asked, k):
     counts = [Counter(words_of(t or "")) for _, t in rows]
     n, mean = len(rows), sum(sum(c.values()) for c in counts) / len(rows)
