@@ -33,9 +33,9 @@ IDENTIFIER = (
     r"""(?i:(?:access|account|client|project|service|tenant|user)[_-]?(?:key[_-]?)?id)"""
     r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}"""
 )
-TOKEN = r"[A-Za-z0-9+/_]"
+TOKEN = r"[A-Za-z0-9+/_-]"
 SECRET = (
-    rf"(?<!{TOKEN})(?=[A-Za-z+/_]*[0-9])(?=[a-z0-9+/_]*[A-Z])(?=[A-Z0-9+/_]*[a-z]){TOKEN}{{20,}}"
+    rf"(?<!{TOKEN})(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z]){TOKEN}{{20,}}"
 )
 ENDPOINT = r"""(?i:https?|amqps?|jdbc:[a-z]+|mongodb|mysql|postgres|redis|s3)://[^\s"'<>]+"""
 KINDS = {
@@ -143,11 +143,15 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
         around = (
             parts.where(F.col("kind").isin(numbers(kinds)))
             .withColumn("slot", F.explode(F.array(F.col("slot") - 1, F.col("slot"), F.col("slot") + 1)))
-            .select("row", "slot", F.col("start").alias("other"))
+            .select("row", "slot", F.col("start").alias("other"), F.col("end").alias("other_end"))
         )
         both = candidates.alias("c").join(
             around.alias("o"),
-            F.expr(f"c.row = o.row AND c.slot = o.slot AND abs(c.start - o.other) <= {scope}"),
+            F.expr(
+                f"c.row = o.row AND c.slot = o.slot AND abs(c.start - o.other) <= {scope}"
+                # The value of an identifier is no secret beside it.
+                f" AND NOT (c.kind = {names.index('identifier')} AND o.other >= c.start AND o.other_end <= c.end)"
+            ),
             "left_semi",
         )
         return both
@@ -176,14 +180,14 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """One row per document: counts of the strong kinds, their digest, and all spans."""
     table = located(docs)
     spans = F.concat(*[F.col(k) for k in KINDS])
-    # A weak token inside a strong span is that span.
+    # A weak secret inside a strong span is that span; other parts may hold or overlap one.
     parts = (
         table.select("row", *KINDS)
         .where(F.size(F.concat("identifier", "secret", "endpoint")) > 0)
         .withColumn("strong", F.concat(*[F.col(k) for k in STRONG]))
         .select("row", "strong", F.explode(spans).alias("s"))
         .where(
-            f"s.kind < {len(STRONG)} OR NOT exists(strong, t -> s.start < t.end AND t.start < s.end)"
+            f"s.kind <> {list(KINDS).index('secret')} OR NOT exists(strong, t -> t.start <= s.start AND s.end <= t.end)"
         )
         .select("row", "s.kind", "s.start", "s.end")
     )

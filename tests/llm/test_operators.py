@@ -216,6 +216,20 @@ def test_secrets(llm, docs, odd):
         assert Counter((r["doc_id"], r["spans"]) for r in secrets.find_secrets(df).collect()) == want
 
 
+def test_secret_parts_that_hold_strong_spans(llm):
+    mixed = "Zx81Qw22Er33Ty44Ui55Op66"
+    cases = {
+        f"account_id: 1234567890123456 key {mixed}": "identifier hex secret",
+        f"client_id: my-client-77 key {mixed} at https://a.example.net/0123456789abcdef0123": "identifier secret endpoint hex",
+        "client_id: my-client-77 key Zx81Qw22Er-33Ty44Ui_55Op66": "identifier secret",
+        "account_id: 1234567890123456": "hex",
+    }
+    df = llm.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in secrets.find_secrets(df).collect():
+        want = list(cases.values())[r["doc_id"]]
+        assert " ".join(s.split(":")[0] for s in r["spans"].split(",")) == want
+
+
 def test_quality(llm, docs, odd, none):
     labels = llm.read.parquet(f"{SMALL}/labels.parquet")
     rows = quality.quality_scores(docs, labels).collect()
