@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from playtrail.llm.decontamination import find_overlaps
 from playtrail.llm.html_text import extract_main_text
+from playtrail.llm.multiset_hash import document_fingerprints
 from playtrail.llm.packing import pack_documents
 from playtrail.llm.pii import find_pii
+from playtrail.llm.prefix_trie import conversation_trie
 from playtrail.llm.quality import quality_scores
+from playtrail.llm.resampling import resample
 from playtrail.llm.search import B, DIGITS, K1, TOP_K, search_top_k
 from playtrail.llm.secrets import find_secrets
 from playtrail.llm.sharding import shard_documents
@@ -68,6 +71,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -82,6 +97,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_html_text,
             op9_search,
             op10_simhash,
+            op11_prefix_trie,
+            op12_multiset_hash,
+            op13_resampling,
         )
     }
 
