@@ -95,12 +95,13 @@ def with_rates(events: DataFrame) -> DataFrame:
     return events.withColumns(rate_columns())
 
 
-def enrich_activity(activity: DataFrame, segment: str = "all") -> DataFrame:
+def enrich_activity(activity: DataFrame, segment: str = "all", spread: bool = True) -> DataFrame:
     """Cleaned events of a segment with every derived column.
 
     Calendar parts, flags, bounds, `churned`, and the user's totals, active
     days and rates within the segment. The whole history also has intensity, and
-    the change ratios with the rates of both segments they compare.
+    the change ratios with the rates of both segments they compare. `spread` is
+    that of `attach_per_user`.
     """
     suffix = segment_suffix(segment)
     of_segment = [*USER_TOTALS, "daysInteracting", *RATES]
@@ -114,5 +115,5 @@ def enrich_activity(activity: DataFrame, segment: str = "all") -> DataFrame:
         .select(*kept, *[F.col(name + suffix).alias(name) for name in of_segment])
     )
     # Calendar and flags are added behind the join to keep them out of its shuffle.
-    events = SEGMENT_FILTERS[segment](attach_per_user(activity, users))
+    events = SEGMENT_FILTERS[segment](attach_per_user(activity, users, spread=spread))
     return with_flags(with_calendar(events))

@@ -69,6 +69,27 @@ def hash_split(
     )
 
 
+def split_users_check(split: DataFrame, table: DataFrame) -> DataFrame:
+    """What must hold of a split by users, whatever rows were drawn.
+
+    Users of the table in both parts, in neither, in either, and users of a part
+    that the table does not have, by semi- and anti-joins; one row.
+    """
+    train, test = (split.where(F.col("split") == part).select("userId") for part in ("train", "test"))
+    users = table.select("userId")
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.distinct().agg(F.count(F.lit(1)).alias(name))
+
+    both = counted(train.join(test, "userId", "left_semi"), "inBoth")
+    neither = counted(users.join(split, "userId", "left_anti"), "inNeither")
+    strange = counted(split.select("userId").join(users, "userId", "left_anti"), "unknown")
+    held = counted(users.join(split, "userId", "left_semi"), "users")
+    return held.withColumns(
+        {c: frame.scalar() for c, frame in (("inBoth", both), ("inNeither", neither), ("unknown", strange))}
+    )
+
+
 def random_split(
     table: DataFrame, train_percent: int = TRAIN_PERCENT, seed: int = SEED
 ) -> DataFrame:
@@ -95,27 +116,28 @@ def logistic_regression() -> LogisticRegression:
 
 
 def decision_tree() -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(labelCol="label", featuresCol="features", seed=SEED)
+    return DecisionTreeClassifier(seed=SEED)
 
 
 def f1_evaluator() -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(
-        labelCol="label", predictionCol="prediction", metricName="f1"
-    )
+    return MulticlassClassificationEvaluator(metricName="f1")
 
 
-def tree_search() -> CrossValidator:
-    """Search over tree depth, cross-validated on the table's own `fold` column."""
+def tree_search(depths: list[int] = TREE_DEPTHS, keep_models: bool = False) -> CrossValidator:
+    """Search over tree depth, cross-validated on the table's own `fold` column.
+
+    With `keep_models` the result holds the models of all folds (`search_scores`).
+    """
     tree = decision_tree()
-    depths = ParamGridBuilder().addGrid(tree.maxDepth, TREE_DEPTHS).build()
     return CrossValidator(
         estimator=tree,
-        estimatorParamMaps=depths,
+        estimatorParamMaps=ParamGridBuilder().addGrid(tree.maxDepth, depths).build(),
         evaluator=f1_evaluator(),
         numFolds=FOLDS,
         foldCol="fold",
         seed=SEED,
-        parallelism=len(TREE_DEPTHS),
+        parallelism=len(depths),
+        collectSubModels=keep_models,
     )
 
 
@@ -133,15 +155,21 @@ def train_and_evaluate(
 
 
 def weighted_f1(
-    scored: DataFrame, label: str = "label", prediction: str = "prediction"
+    scored: DataFrame, label: str = "label", prediction: str = "prediction", by: list[str] | None = None
 ) -> DataFrame:
-    """F1 of each class weighted by its support, as one row of a plain aggregate.
+    """F1 of each class weighted by its support, as a plain aggregate: one row, or one per `by`.
 
     Rows shrink to one per (label, prediction) pair first. Each pair then counts
     once for the class it should have been and once for the class it was given.
+    A row without a label or without a prediction is not scored, as neither class
+    is known; `rows` counts the scored ones.
     """
-    pairs = scored.groupBy(
-        F.col(label).cast("double").alias("actual"), F.col(prediction).cast("double").alias("given")
+    by = by or []
+    known = scored.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    pairs = known.groupBy(
+        *by,
+        F.col(label).cast("double").alias("actual"),
+        F.col(prediction).cast("double").alias("given"),
     ).agg(F.count(F.lit(1)).alias("n"))
     none = F.lit(0).cast("bigint")
     right = F.when(F.col("actual") == F.col("given"), F.col("n")).otherwise(none)
@@ -160,12 +188,12 @@ def weighted_f1(
         ),
     )
     classes = (
-        pairs.select(F.inline(views))
-        .groupBy("class")
+        pairs.select(*by, F.inline(views))
+        .groupBy(*by, "class")
         .agg(*[F.sum(name).alias(name) for name in ("support", "claimed", "hits")])
     )
     f1 = F.try_divide(2 * F.col("hits"), F.col("support") + F.col("claimed"))
-    return classes.agg(
+    return classes.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("support") * f1), F.sum("support")).alias("f1"),
         F.sum("support").alias("rows"),
     )

@@ -1,23 +1,35 @@
 """Reading activity logs, and tables written once to be read several times."""
 
 from playtrail.sources.activity import (
-    activity_from_events,
+    ReadReport,
     missing_columns,
     read_activity,
     rejected_activity,
     require_columns,
+    schema_by_file,
     schema_report,
 )
-from playtrail.sources.shared import materialize, new_shared_path, shared_folder
+from playtrail.sources.bucketed import write_bucketed
+from playtrail.sources.shared import (
+    load_model,
+    materialize,
+    new_shared_path,
+    save_model,
+    shared_folder,
+)
 
 __all__ = [
-    "activity_from_events",
+    "ReadReport",
+    "load_model",
     "materialize",
     "missing_columns",
     "new_shared_path",
     "read_activity",
     "rejected_activity",
     "require_columns",
+    "save_model",
+    "schema_by_file",
     "schema_report",
     "shared_folder",
+    "write_bucketed",
 ]

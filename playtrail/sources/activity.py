@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DoubleType,
+    DecimalType,
     FloatType,
     IntegralType,
     LongType,
@@ -18,7 +18,8 @@ from pyspark.sql.types import (
 
 from playtrail.schema import ACTIVITY, ACTIVITY_COLUMNS
 
-REQUIRED = ("userId", "sessionId", "ts", "page")
+# Without any value of these, cleaning would leave nothing; a log without pages is legal.
+NEEDED = ("userId", "sessionId", "ts")
 CORRUPT = "_corrupt_record"
 # Every field as the text it stands as, so that no value is lost before it is looked at.
 ACTIVITY_TEXT = StructType(
@@ -26,8 +27,52 @@ ACTIVITY_TEXT = StructType(
 )
 
 
+class ReadReport:
+    """What the pass that read a log saw, once an action has run on it.
+
+    Rows, rejected rows, and values per field, counted beside the read by
+    `DataFrame.observe` and not by a pass of their own. The first action that reads
+    all of the log fills the report; one that stops early counts what it has read.
+    Counting every field means reading every field.
+    """
+
+    def __init__(self, name: str = "activity"):
+        self.observation = Observation(name)
+
+    def attach(self, df: DataFrame, rejected: Column) -> DataFrame:
+        return df.observe(
+            self.observation,
+            F.count(F.lit(1)).alias("rows"),
+            F.count(rejected).alias("rejected"),
+            *[F.count(name).alias(name) for name in ACTIVITY_COLUMNS],
+        )
+
+    @property
+    def rows(self) -> int:
+        return self.observation.get["rows"]
+
+    @property
+    def rejected(self) -> int:
+        return self.observation.get["rejected"]
+
+    @property
+    def values(self) -> dict[str, int]:
+        """Values per field that fit its declared type."""
+        return {name: self.observation.get[name] for name in ACTIVITY_COLUMNS}
+
+    def require(self, *names: str) -> None:
+        """Raise if there are rows and one of the fields has no value in any."""
+        empty = [name for name in names or NEEDED if self.rows and not self.values[name]]
+        if empty:
+            raise ValueError("activity log has no value of: " + ", ".join(empty))
+
+
 def read_activity(
-    spark: SparkSession, path: str | list[str], fmt: str = "json", on_reject: str = "fail"
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str = "json",
+    on_reject: str = "fail",
+    report: ReadReport | None = None,
 ) -> DataFrame:
     """Scan an activity log stored as JSON lines or Parquet.
 
@@ -35,12 +80,17 @@ def read_activity(
     a *rejected* row. Numbers written as text and whole numbers written as floats
     fit. With `on_reject="fail"` a query over such a row raises an error; with
     `"null"` the values become nulls, as in `rejected_activity`, which lists those
-    rows. A required field that no row of the log holds is an error either way.
+    rows. Nothing runs before the caller's action; a `report` counts rows, rejects
+    and values during it, and `report.require()` then refuses a log without users,
+    sessions or times. A Parquet path that lacks a declared column is refused here.
     """
     if on_reject not in ("fail", "null"):
         raise ValueError(f"unknown on_reject {on_reject!r}; expected 'fail' or 'null'")
     typed = _typed(spark, path, fmt)
-    if on_reject == "fail" and "rejected" in typed.columns:
+    checked = "rejected" in typed.columns
+    if report is not None:
+        typed = report.attach(typed, F.col("rejected") if checked else F.lit(None).cast("string"))
+    if on_reject == "fail" and checked:
         # In the filter, so that no pruning of columns can leave it out.
         error = F.raise_error(F.concat(F.lit("rejected activity row: "), "rejected"))
         typed = typed.where(F.when(F.col("rejected").isNull(), True).otherwise(error.cast("boolean")))
@@ -55,16 +105,17 @@ def rejected_activity(spark: SparkSession, path: str | list[str], fmt: str = "js
     return typed.where(F.col("rejected").isNotNull())
 
 
+def _paths(path: str | list[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
 def _typed(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
     """The log by its declared types, and `rejected` where a value could fail to fit."""
-    paths = [path] if isinstance(path, str) else list(path)
     if fmt == "json":
-        text = spark.read.schema(ACTIVITY_TEXT).json(paths)
-        _require_fields(text)
-        return _cast_all(text)
+        return _cast_all(spark.read.schema(ACTIVITY_TEXT).json(_paths(path)))
     if fmt == "parquet":
         # Each path by its own schema; a merged one would hide what a single path lacks.
-        frames = [_cast_all(spark.read.parquet(p)) for p in paths]
+        frames = [_cast_all(spark.read.parquet(p)) for p in _paths(path)]
         if any("rejected" in f.columns for f in frames) or len(frames) > 1:
             return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         return frames[0]
@@ -98,20 +149,76 @@ def _cast(field: StructField) -> Column:
     value = F.col(field.name).cast("string")
     if not isinstance(field.dataType, LongType):
         return value.try_cast(field.dataType)
-    number = value.try_cast(DoubleType())
+    # Through a decimal, as a double would round whole numbers above 2**53.
+    number = value.try_cast(DecimalType(38, 18))
     whole = F.when(number == F.floor(number), number.try_cast(LongType()))
     return F.coalesce(value.try_cast(LongType()), whole)
 
 
-def _require_fields(text: DataFrame) -> None:
-    """Raise if no row holds a required field; each is looked for until the first such row."""
-    if not text.take(1):
-        return
-    lacking = [
-        name for name in REQUIRED if not text.where(F.col(name).isNotNull()).select(*REQUIRED).take(1)
-    ]
-    if lacking:
-        raise ValueError("activity log lacks: " + ", ".join(lacking))
+ABSENT = "absent"
+
+
+def schema_by_file(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
+    """Per file and declared column: the declared type, the type found, and how the values fit.
+
+    `rows` and `values` count the file's rows and the column's non-null values, and
+    `misfits` those of them that do not fit the declared type (what `read_activity`
+    rejects). `found` is, for Parquet, the type the file's path holds, and for JSON
+    the narrowest of bigint, double and string that takes all of the file's values;
+    either is "absent" where there is no such column, or no value of it in a JSON
+    file. All files are reconciled in one aggregation over the log.
+    """
+    names = [f.name for f in ACTIVITY.fields]
+    if fmt == "json":
+        text = spark.read.schema(ACTIVITY_TEXT).json(_paths(path))
+        # What does not parse as a row at all has no values.
+        return _reconciled([(text.select("*", "_metadata.file_path"), dict.fromkeys(names))])
+    if fmt != "parquet":
+        raise ValueError(f"unknown activity format {fmt!r}; expected 'json' or 'parquet'")
+    frames = []
+    for p in _paths(path):
+        df = spark.read.parquet(p)
+        held = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        columns = [F.col(n) if n in held else F.lit(None).cast("string").alias(n) for n in names]
+        frames.append((df.select(*columns, "_metadata.file_path"), {n: held.get(n, ABSENT) for n in names}))
+    return _reconciled(frames)
+
+
+def _reconciled(frames: list[tuple[DataFrame, dict[str, str | None]]]) -> DataFrame:
+    reports = []
+    for df, found in frames:
+        counts = [F.count(F.lit(1)).alias("rows")]
+        for field in ACTIVITY.fields:
+            name, value = field.name, F.col(field.name).cast("string")
+            counts += [
+                F.count(name).alias(f"{name}_values"),
+                F.count(F.when(F.col(name).isNotNull() & _cast(field).isNull(), 1)).alias(f"{name}_misfits"),
+                F.count(value.try_cast("bigint")).alias(f"{name}_bigint"),
+                F.count(value.try_cast("double")).alias(f"{name}_double"),
+            ]
+        files = df.groupBy("file_path").agg(*counts)
+        rows = []
+        for field in ACTIVITY.fields:
+            name = field.name
+            values = F.col(f"{name}_values")
+            seen = (
+                F.when(values == 0, ABSENT)
+                .when(values == F.col(f"{name}_bigint"), "bigint")
+                .when(values == F.col(f"{name}_double"), "double")
+                .otherwise("string")
+            )
+            rows.append(
+                F.struct(
+                    F.lit(name).alias("column"),
+                    F.lit(field.dataType.simpleString()).alias("declared"),
+                    (seen if found[name] is None else F.lit(found[name])).alias("found"),
+                    "rows",
+                    values.alias("values"),
+                    F.col(f"{name}_misfits").alias("misfits"),
+                )
+            )
+        reports.append(files.select(F.col("file_path").alias("file"), F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, reports)
 
 
 def missing_columns(df: DataFrame) -> list[str]:
@@ -136,48 +243,3 @@ def schema_report(df: DataFrame) -> DataFrame:
     """Columns of a frame with type and nullability, one row each."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
     return df.sparkSession.createDataFrame(rows, "column string, type string, nullable boolean")
-
-
-# How each column of an activity log is read off one row of `events`.
-FROM_EVENTS = {
-    "userId": """
-        CASE WHEN event_id % 97 = 0 THEN ''
-             WHEN event_id % 101 = 0 THEN NULL
-             ELSE string(user_id) END""",
-    "sessionId": """
-        CASE WHEN event_id % 103 <> 0 THEN user_id * 100 + dayofmonth(timestamp(ts)) END""",
-    "ts": "unix_millis(timestamp(ts))",
-    "page": """
-        CASE event_type
-          WHEN 'error' THEN CASE WHEN value > 200 THEN 'Cancellation Confirmation'
-                                 WHEN event_id % 2 = 0 THEN 'Roll Advert'
-                                 ELSE 'Thumbs Down' END
-          WHEN 'view' THEN 'NextSong'
-          WHEN 'click' THEN if(event_id % 3 = 0, 'Thumbs Up', 'NextSong')
-          WHEN 'purchase' THEN CASE event_id % 5 WHEN 0 THEN 'Submit Downgrade'
-                                                 WHEN 1 THEN 'Downgrade'
-                                                 ELSE 'Add to Playlist' END
-          WHEN 'signup' THEN if(event_id % 2 = 0, 'Add Friend', 'Logout')
-        END""",
-    "level": "if(user_id % 3 = 0, 'paid', 'free')",
-    "song": "if(isSong, 'song-' || string(event_id % 1000), NULL)",
-    "artist": "if(isSong, 'artist-' || string(event_id % 100), NULL)",
-    "gender": "if(user_id % 2 = 0, 'F', 'M')",
-    "itemInSession": "event_id % 50",
-    "length": "if(isSong, value, NULL)",
-    "location": "'city-' || string(user_id % 20)",
-    "status": "bigint(if(event_type = 'error', 404, 200))",
-    "userAgent": "'agent-' || string(user_id % 5)",
-}
-IS_SONG = "event_type = 'view' OR (event_type = 'click' AND event_id % 3 <> 0) AS isSong"
-
-
-def activity_from_events(events: DataFrame) -> DataFrame:
-    """Read the generic `events` table as an activity log.
-
-    Plain arithmetic on the event's own columns, so the same log can be stated
-    in SQL. Some ids come out blank or null to give cleaning something to do.
-    """
-    return events.selectExpr("*", IS_SONG).selectExpr(
-        *[f"{FROM_EVENTS[name]} AS {name}" for name in ACTIVITY_COLUMNS]
-    )

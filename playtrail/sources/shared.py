@@ -8,25 +8,22 @@ keeps the later passes column-pruned.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark.ml.util import DefaultParamsReader, MLReadable, MLWritable
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`.
+    """The folder named by `spark.checkpoint.dir`; a session that names none is refused.
 
-    Only a local session that names none gets a temporary folder of its own: on
-    a cluster such a folder would be invisible to the other machines.
+    A folder of the driver's own machine would be invisible to the executors, and
+    nobody but the caller knows one that all of them reach.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="playtrail-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return folder.rstrip("/")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
@@ -39,3 +36,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def save_model(spark: SparkSession, model: MLWritable, name: str) -> str:
+    """Write a fitted model to the shared folder; the path to load it from."""
+    path = new_shared_path(spark, name)
+    model.write().save(path)
+    return path
+
+
+def load_model(spark: SparkSession, path: str) -> MLReadable:
+    """The model at that path, of whatever class was saved, in this or another session."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)

@@ -5,7 +5,8 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
     session = (
         SparkSession.builder.master("local[*]")
         .appName("playtrail-tests")
@@ -13,6 +14,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
+        .config("spark.checkpoint.dir", f"file://{folder}/shared")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from event_fixture import activity_from_events
 from playtrail.operators.model import (
     FOLDS,
     TREE_DEPTHS,
@@ -17,12 +18,14 @@ from playtrail.operators.model import (
     score_table,
     split_label_rate,
     train_and_evaluate,
+    split_users_check,
     tree_search,
     weighted_f1,
 )
+from playtrail.operators.search import search_predictions, search_scores
 from playtrail.plans import churn_study, user_features, user_measures
 from playtrail.plans.churn_study import model_input
-from playtrail.sources import activity_from_events
+from playtrail.sources import load_model, materialize, save_model
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -148,3 +151,62 @@ def test_whole_study(raw):
     assert all(0.0 <= f1 <= 1.0 for f1 in scores.values())
     assert study.best_tree.count() > 0
     assert sum(r.users for r in study.label_rate.collect()) == 150
+
+
+def test_unlabelled_and_unpredicted_rows_are_not_scored(spark):
+    frame = scored(spark, [(1.0, 1.0), (0.0, 1.0), (None, 1.0), (1.0, None), (None, None)])
+    whole = scored(spark, [(1.0, 1.0), (0.0, 1.0)])
+    assert weighted_f1(frame).first() == weighted_f1(whole).first()
+    (row,) = weighted_f1(frame.limit(0)).collect()
+    assert (row.f1, row.rows) == (None, None)
+
+
+def test_f1_by_group_is_that_of_each_group(spark):
+    rows = [(g, float(a), float(b)) for g in (0, 1) for a in (0, 1) for b in (0, 1, g)]
+    frame = spark.createDataFrame(rows, "g int, label double, prediction double")
+    found = {r.g: r.f1 for r in weighted_f1(frame, by=["g"]).collect()}
+    for g in (0, 1):
+        assert found[g] == pytest.approx(weighted_f1(frame.where(F.col("g") == g)).first().f1)
+
+
+def test_search_scores_are_the_searchs_own(table):
+    train, _ = parts(table)
+    search = tree_search([2, 3, 6], keep_models=True).fit(train)
+    predictions = search_predictions(search, train)
+    assert predictions.count() == 3 * train.count()
+    scores = search_scores(search, train).collect()
+    assert len(scores) == 3 * FOLDS
+    means = {r.maxDepth: r.meanF1 for r in scores}
+    assert [means[d] for d in (2, 3, 6)] == pytest.approx(search.avgMetrics, abs=1e-9)
+    assert {r.maxDepth for r in scores if r.chosen} == {search.bestModel.getMaxDepth()}
+    for fold in range(FOLDS):
+        held_out = train.where(F.col("fold") == fold)
+        for depth, model in zip((2, 3, 6), search.subModels[fold]):
+            own = f1_evaluator().evaluate(model.transform(held_out))
+            (row,) = [r for r in scores if (r.fold, r.maxDepth) == (fold, depth)]
+            assert row.f1 == pytest.approx(own, abs=1e-9)
+
+
+@pytest.mark.parametrize("estimator", [logistic_regression, decision_tree, tree_search])
+def test_a_loaded_model_predicts_as_the_one_saved(spark, table, estimator):
+    train, test = parts(table)
+    fitted = train_and_evaluate(train, test, estimator())
+    loaded = load_model(spark, save_model(spark, fitted.model, "model"))
+    assert type(loaded) is type(fitted.model)
+    columns = ["userId", "prediction", "probability"]
+    assert sorted(map(str, loaded.transform(test).select(columns).collect())) == sorted(
+        map(str, fitted.predictions.select(columns).collect())
+    )
+    assert best_params(fitted._replace(model=loaded)).collect() == best_params(fitted).collect()
+
+
+def test_split_check_sees_what_is_wrong(spark):
+    table = spark.createDataFrame([(str(i),) for i in range(10)], "userId string")
+    split = spark.createDataFrame(
+        [(str(i), "train") for i in range(6)] + [(str(i), "test") for i in (5, 6, 7, 99)], "userId string, split string"
+    )
+    (row,) = split_users_check(split, table).collect()
+    assert row.asDict() == {"users": 8, "inBoth": 1, "inNeither": 2, "unknown": 1}
+    good = random_split(materialize(table.withColumn("label", F.lit(0.0)), "users"))
+    (row,) = split_users_check(good, table).collect()
+    assert (row.users, row.inBoth, row.inNeither, row.unknown) == (10, 0, 0, 0)

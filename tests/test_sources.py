@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from playtrail.operators import clean_activity, page_frequency
 from playtrail.schema import ACTIVITY, ACTIVITY_COLUMNS
 from playtrail.sources import (
+    ReadReport,
     materialize,
     missing_columns,
     new_shared_path,
     read_activity,
     rejected_activity,
     require_columns,
+    schema_by_file,
     schema_report,
     shared_folder,
 )
@@ -65,10 +67,101 @@ def test_numbers_as_text_and_whole_floats_are_kept(spark, tmp_path, session, ts)
     assert (row.userId, row.sessionId, row.ts) == ("7", 12, 1704110400000)
 
 
-def test_a_required_field_that_never_occurs_is_refused(spark, tmp_path):
+def test_reading_runs_nothing_and_the_report_is_of_the_same_pass(spark, tmp_path):
+    path = written_lines(
+        tmp_path,
+        '{"userId":"7","sessionId":1,"ts":5,"page":"Home"}',
+        '{"userId":"8","sessionId":2,"ts":"noon","page":null}',
+        "not json",
+    )
+    report = ReadReport()
+    sc = spark.sparkContext
+    sc.setJobGroup("reading", "reading")
+    rows = read_activity(spark, path, on_reject="null", report=report)
+    rejected = rejected_activity(spark, path)
+    assert not sc.statusTracker().getJobIdsForGroup("reading")
+    assert len(rows.collect()) == 3
+    jobs = sc.statusTracker().getJobIdsForGroup("reading")
+    assert (report.rows, report.rejected) == (3, 2)
+    assert report.values["userId"] == 2 and report.values["ts"] == 1 and report.values["page"] == 1
+    assert len(sc.statusTracker().getJobIdsForGroup("reading")) == len(jobs)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert rejected.count() == report.rejected
+    report.require()
+
+
+def test_a_needed_field_that_never_occurs_is_refused_after_the_read(spark, tmp_path):
     path = written_lines(tmp_path, '{"userId":"7","ts":5,"page":"Home"}')
+    report = ReadReport("lacking")
+    assert read_activity(spark, path, report=report).count() == 1
     with pytest.raises(ValueError, match="sessionId"):
-        read_activity(spark, path)
+        report.require()
+
+
+def test_a_log_without_any_page_is_legal(spark, tmp_path):
+    path = written_lines(tmp_path, '{"userId":"7","sessionId":1,"ts":5,"page":null}')
+    report = ReadReport("pageless")
+    read = read_activity(spark, path, report=report)
+    assert [r.page for r in page_frequency(read).collect()] == [None]
+    report.require()
+    with pytest.raises(ValueError, match="page"):
+        report.require("page")
+
+
+def test_an_empty_log_lacks_nothing(spark, tmp_path):
+    path = tmp_path / "empty.json"
+    path.write_text("")
+    report = ReadReport("empty")
+    assert read_activity(spark, str(path), report=report).count() == 0
+    report.require()
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [
+        ("9007199254740993.0", 9007199254740993),
+        ("9223372036854775807", 2**63 - 1),
+        ("-9223372036854775808.00", -(2**63)),
+        ("1e3", 1000),
+        ("9223372036854775808", None),
+        ("1.5", None),
+        ("1.0000000000001", None),
+        ('"NaN"', None),
+    ],
+)
+def test_large_whole_numbers_are_exact(spark, tmp_path, text, number):
+    path = written_lines(tmp_path, f'{{"userId":"7","sessionId":{text},"ts":5,"page":"Home"}}')
+    (row,) = read_activity(spark, path, on_reject="null").collect()
+    assert row.sessionId == number
+    assert rejected_activity(spark, path).count() == (number is None)
+
+
+def test_schema_by_file_of_json(spark, tmp_path):
+    for name, lines in {
+        "a.json": ['{"userId":"7","sessionId":1,"ts":5,"page":"Home","length":1.5}', "junk"],
+        "b.json": ['{"userId":"8","sessionId":"x","ts":6.0}', '{"userId":9,"sessionId":2}'],
+    }.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    report = schema_by_file(spark, str(tmp_path), "json").collect()
+    found = {(r.file.rsplit("/", 1)[1], r.column): (r.declared, r.found, r["rows"], r["values"], r.misfits) for r in report}
+    assert len(found) == 2 * len(ACTIVITY_COLUMNS)
+    assert found["a.json", "sessionId"] == ("bigint", "bigint", 2, 1, 0)
+    assert found["a.json", "length"] == ("double", "double", 2, 1, 0)
+    assert found["a.json", "level"] == ("string", "absent", 2, 0, 0)
+    assert found["b.json", "sessionId"] == ("bigint", "string", 2, 2, 1)
+    assert found["b.json", "ts"] == ("bigint", "double", 2, 1, 0)
+    assert found["b.json", "page"] == ("string", "absent", 2, 0, 0)
+
+
+def test_schema_by_file_names_every_file_of_a_path(spark, tmp_path):
+    path = str(tmp_path / "two")
+    log(spark, [event(user="a"), event(user="b")]).repartition(2, "userId").write.parquet(path)
+    log(spark, [event(user="c")]).drop("artist").write.mode("append").parquet(path)
+    report = schema_by_file(spark, path)
+    assert report.select("file").distinct().count() >= 2
+    assert {r["rows"] for r in report.where("column = 'userId'").collect()} <= {1, 2}
+    with pytest.raises(ValueError, match="csv"):
+        schema_by_file(spark, path, "csv")
 
 
 @pytest.mark.parametrize("bad", ["not json", '{"userId":"8","sessionId":2,"ts":"noon","page":"x"}'])
@@ -152,15 +245,8 @@ class BareSession:
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
 
-
-def test_cluster_without_a_shared_folder_is_refused():
+@pytest.mark.parametrize("master", ["yarn", "local[2]"])
+def test_a_session_without_a_shared_folder_is_refused(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(BareSession("yarn"))
-
-
-def test_local_session_without_a_folder_gets_one_and_keeps_it():
-    session = BareSession("local[2]")
-    assert shared_folder(session) == shared_folder(session) == session.folder
+        shared_folder(BareSession(master))
