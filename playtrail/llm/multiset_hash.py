@@ -297,7 +297,7 @@ def document_fingerprints(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot
     hot = _collected(often.collect())
     placed = keyed.mapInArrow(_placer(bounds, hot), _PLACED)
     return (
-        placed.repartition(buckets, "bucket")
+        placed.repartitionById(buckets, "bucket")  # not by a hash, which puts some buckets together
         .sortWithinPartitions("bucket", "guest", *order)
         .select("bucket", "guest", "times", "doc_id", "text")
         .mapInArrow(_described_in_order, DIGEST)
