@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from playtrail.llm.store import written
 
 DIGIT_BITS = 11
-BLOCK_ROWS = 1 << 18
+BLOCK_ROWS = 1 << 12
 LOWEST = -(2**63)
 
 
