@@ -8,8 +8,9 @@ evidence, and a rising curve fitted on labelled rows that built no dictionary
 evidence tells apart) turns it into a score.
 
 The model is fitted on bounded samples (`dictionary_rows` a class, and
-`calibration_rows`, each row with at most `SAMPLE_CHARS` characters from a place
-its id decides); every whole text is scored.
+`calibration_rows`, each row with at most `sample_chars` characters from a place
+its id decides); every whole text is scored. Those three are parameters of the fit
+(`fit_quality`).
 
 Defined results: a null text is an empty one; an empty text has evidence 0 and
 gets the score of that; repeated rows score alike; a missing class leaves every
@@ -111,7 +112,7 @@ def fit_curve(evidence: np.ndarray, label: np.ndarray) -> tuple[list[float], lis
     return middle, shares.tolist()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> list:
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int = SAMPLE_CHARS) -> list:
     """Up to `rows` labelled documents, by the hash of their ids: (doc_id, quality, text)."""
     chosen = (
         labels.groupBy("doc_id")
@@ -120,8 +121,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> list:
         .limit(rows)
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    spare = F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0)) + 1
-    part = F.substring(text, (F.pmod(F.xxhash64("doc_id"), spare) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    spare = F.greatest(F.length(text) - chars, F.lit(0)) + 1
+    part = F.substring(text, (F.pmod(F.xxhash64("doc_id"), spare) + 1).cast("int"), F.lit(chars))
     # `chosen` has at most `rows` rows.
     found = docs.select("doc_id", part.alias("text")).join(F.broadcast(chosen), "doc_id")
     found = found.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
@@ -133,6 +134,7 @@ def fit_quality(
     labels: DataFrame,
     dictionary_rows: int = DICTIONARY_ROWS,
     calibration_rows: int = CALIBRATION_ROWS,
+    sample_chars: int = SAMPLE_CHARS,
 ) -> QualityModel:
     """Fit on labelled rows outside fold 0; the last fold calibrates."""
     docs = docs.select(F.col("doc_id"), F.col("text"))
@@ -140,11 +142,11 @@ def fit_quality(
     labels = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
     first, last = labels.where(fold().between(1, FOLDS - 2)), labels.where(fold() == FOLDS - 1)
     texts = [
-        [r["text"] for r in labelled_sample(docs, first.where(F.col("quality") == q), dictionary_rows)]
+        [r["text"] for r in labelled_sample(docs, first.where(F.col("quality") == q), dictionary_rows, sample_chars)]
         for q in (1, 0)
     ]
     good, bad = (build_dictionary(t) if t else b"" for t in texts)
-    held = labelled_sample(docs, last, calibration_rows)
+    held = labelled_sample(docs, last, calibration_rows, sample_chars)
     label = np.array([r["quality"] for r in held], int)
     counts = [len(t) + int((label == q).sum()) for q, t in zip((1, 0), texts)]
     share = counts[0] / sum(counts) if sum(counts) else 0.5
@@ -157,30 +159,33 @@ def fit_quality(
     return model
 
 
-def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """The rows with `_score` appended; `text` names the column that is scored."""
+def score_quality(docs: DataFrame, model: QualityModel, score: str, text: str = "text") -> DataFrame:
+    """The rows with the score appended under that name; `text` names the column that is scored."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             evidence = model.evidence(t.as_py() for t in batch.column(text))
-            yield batch.append_column("_score", pa.array(model.score(evidence)))
+            yield batch.append_column(score, pa.array(model.score(evidence)))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{schema}, _score double")
+    return docs.mapInArrow(compute, f"{schema}, `{score}` double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     model = fit_quality(docs, labels)
-    scored = score_quality(docs.select("doc_id", "text"), model)
+    scored = score_quality(docs.select("doc_id", "text"), model, "score")
     return scored.select(
         "doc_id",
         (fold() == 0).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= threshold).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score reaches the threshold, columns as they are."""
-    scored = score_quality(docs, fit_quality(docs, labels))
-    return scored.where(F.col("_score") >= threshold).drop("_score")
+    score = "_score"
+    while score in {c.lower() for c in docs.columns}:
+        score = "_" + score
+    scored = score_quality(docs, fit_quality(docs, labels), score)
+    return scored.where(F.col(score) >= threshold).drop(score)

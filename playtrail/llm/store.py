@@ -17,10 +17,10 @@ REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__f
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; where it is unset, a folder of the (shared) warehouse."""
+    """`spark.checkpoint.dir`; a session that names none is refused, as no folder is known to be shared."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return folder.rstrip("/")
 
 
@@ -38,8 +38,9 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
 def prepare(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where the driver found it.
 
-    Only adds to the variable that Spark hands to new workers; on a cluster the
-    package is installed or shipped with `--py-files` and this changes nothing.
+    Edits the `PYTHONPATH` of the caller's Spark context, which Spark hands to new
+    workers: this repository is added to it. On a cluster the package is installed
+    or shipped with `--py-files`, and the addition changes nothing.
     """
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if REPOSITORY not in known.split(os.pathsep):

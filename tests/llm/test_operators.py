@@ -520,3 +520,36 @@ def test_empty_tables(llm, none):
     asked = none.selectExpr("doc_id AS query_id", "text")
     assert search.search_top_k(none, asked).count() == 0
     assert token_file.token_file_digest(llm, token_file.encode_documents(none, byte)).count() == 0
+
+
+def test_a_score_column_of_the_input_is_kept(llm):
+    docs = llm.read.parquet(f"{SMALL}/documents.parquet")
+    labels = llm.read.parquet(f"{SMALL}/labels.parquet")
+    named = docs.withColumns({"_score": F.lit("x"), "__score": F.lit(1.0), "score": F.lit(2)})
+    kept = quality.keep_good(named, labels)
+    assert kept.columns == named.columns
+    plain = {r["doc_id"] for r in quality.keep_good(docs, labels).collect()}
+    rows = kept.collect()
+    assert {r["doc_id"] for r in rows} == plain and {r["_score"] for r in rows} == {"x"}
+    assert quality.quality_scores(named, labels).count() == docs.count()
+
+
+WITHOUT_SQL = {
+    "op1_best_fit_packing",
+    "op2_jump_sharding",
+    "op3_decontamination",
+    "op4_secret_scan",
+    "op5_quality",
+    "op6_pii",
+    "op7_token_file",
+    "op8_html_text",
+    "op10_simhash",
+    "op11_prefix_trie",
+    "op12_multiset_hash",
+    "op13_resampling",
+}
+
+
+def test_queries_with_and_without_sql():
+    assert set(queries.queries()) - set(queries.oracle_sql()) == WITHOUT_SQL
+    assert set(queries.oracle_sql()) == {"op9_search"}
