@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from playtrail.llm import decontamination, packing, pii, quality, queries, search, secrets
+from playtrail.llm import packing, pii, quality, queries, search, secrets
 from playtrail.llm import sharding, simhash, token_file
 from playtrail.llm.components import components
 from playtrail.llm.html_text import extract_main_text, main_text
@@ -141,40 +141,6 @@ def test_slots_over_many_blocks(llm):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(rows) == 500
 
 
-def test_masks_survive_any_two_substitutions():
-    seen = lambda places, m, s: all(c == "0" or s + k not in places for k, c in enumerate(m))
-    for places in itertools.combinations(range(13), 2):
-        assert any(
-            seen(places, m, s) for m in decontamination.MASKS for s in range(13 - len(m) + 1)
-        )
-
-
-def test_decontamination(llm, odd):
-    words = [f"w{i}" for i in range(40)]
-    items = [(1, " ".join(words)), (2, None), (3, ""), (4, "alpha beta gamma delta epsilon zeta"), (4, " ".join(words))]
-    bench = llm.createDataFrame(items, "item_id long, text string")
-    edited = list(words)
-    edited[3] = edited[11] = edited[20] = edited[29] = "other"
-    cases = {
-        10: "Before. " + " ".join(words).upper() + " after",
-        11: " ".join(edited),
-        12: " ".join(words[5:20]),
-        13: " ".join(words[5:13]),
-        14: "some ALPHA, beta gamma; delta epsilon zeta here",
-        15: "clean text " * 200,
-    }
-    df = llm.createDataFrame(list(cases.items()), "doc_id long, text string")
-    for block_words in (500_000, 10):
-        found = decontamination.find_overlaps(df, bench, block_words).collect()
-        assert {(r["doc_id"], r["item_id"]) for r in found} == {
-            *((d, i) for d in (10, 11, 12) for i in (1, 4)), (14, 4)
-        }
-    assert {r["doc_id"] for r in decontamination.drop_contaminated(df, bench).collect()} == {13, 15}
-    assert decontamination.find_overlaps(odd, bench).count() == 0
-    assert decontamination.drop_contaminated(odd, bench).count() == odd.count()
-    assert decontamination.find_overlaps(odd, bench.limit(0)).count() == 0
-
-
 STRONG = {
     "assign": re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
     "access": re.compile("AKIA[A-Z0-9]+"),
