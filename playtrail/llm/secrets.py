@@ -11,7 +11,8 @@ where near means that the starts lie at most `scope` code points apart.
 
 Defined results: a null text is an empty one and has no spans; equal starts are
 ordered by kind as listed; rows are told apart by a number of their own, so
-repeated ids and rows without one are fine; an empty table gives an empty one.
+repeated ids and rows without one are fine; an empty table gives an empty one;
+columns other than `doc_id` and `text` are not read, whatever their names.
 """
 
 from __future__ import annotations

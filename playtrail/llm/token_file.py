@@ -9,7 +9,8 @@ all stretches of a batch in step, one token of each at a time.
 
 Defined results: a null text is an empty one, stored as its end id alone; null
 ids of documents come first; rows with equal ids follow one another in any order;
-an empty table gives an empty header, no blocks and no rows.
+an empty table gives an empty header, no blocks and no rows; columns other than
+`doc_id` and `text` are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,9 +8,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, sc
 
 
 @pytest.fixture(scope="session")
-def llm(spark, tmp_path_factory):
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+def llm(spark):
     return prepare(spark)
 
 
