@@ -136,11 +136,11 @@ def _in_session(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        local = spark.sparkContext.master.startswith("local")
-        if local and not spark.conf.get("spark.checkpoint.dir", None):
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if context.master.startswith("local") and not named:
             # One machine, so its warehouse is where all of its threads write and read.
-            warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-            spark.conf.set("spark.checkpoint.dir", f"{warehouse}/shared")
+            context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared")
         return query(spark, sf_dir)
 
     return run

@@ -3,6 +3,12 @@
 Each stage takes what the one before has kept, written as Parquet and read again,
 so a lost executor repeats at most one stage. All but the last return the columns
 they were given.
+
+Nulls in any column, empty and very long texts and repeated rows go through all
+stages as each operator's docstring states: a null text scores, links and is kept as
+an empty one, rows are told apart by themselves and not by their ids, and a null
+stays null. Extra columns, also ones named like an operator's own, are kept by all
+stages but the last. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -17,9 +17,11 @@ from playtrail.operators.per_user import attach_per_user
 from playtrail.operators.profile import (
     activity_counts,
     cohort_profile,
+    most_used_first,
     page_frequency,
     page_share,
     top_pages,
+    without_page,
 )
 from playtrail.operators.rollup import active_days, user_activity, user_day_rollup
 from playtrail.operators.segments import before_last_week, last_week
@@ -33,6 +35,7 @@ __all__ = [
     "cohort_profile",
     "enrich_activity",
     "last_week",
+    "most_used_first",
     "page_frequency",
     "page_share",
     "preview",
@@ -48,4 +51,5 @@ __all__ = [
     "with_rates",
     "with_user_bounds",
     "with_user_totals",
+    "without_page",
 ]

@@ -13,13 +13,13 @@ def _page_counts(log: DataFrame) -> DataFrame:
     return log.groupBy("page").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _most_used_first(pages: DataFrame) -> DataFrame:
+def most_used_first(pages: DataFrame) -> DataFrame:
     return pages.orderBy(F.desc("n"), F.asc("page"))
 
 
 def page_frequency(log: DataFrame) -> DataFrame:
     """Events per page of the raw log, most used first; a null page is a page."""
-    return _most_used_first(_page_counts(log))
+    return most_used_first(_page_counts(log))
 
 
 def top_pages(log: DataFrame, k: int = 50) -> DataFrame:
@@ -37,8 +37,13 @@ def page_share(log: DataFrame, exclude: str | None = None) -> DataFrame:
         "count_percentage", F.try_divide(F.col("n"), F.col("total")) * 100
     )
     if exclude is not None:
-        shares = shares.where(~F.col("page").eqNullSafe(exclude))
-    return _most_used_first(shares)
+        shares = without_page(shares, exclude)
+    return most_used_first(shares)
+
+
+def without_page(pages: DataFrame, page: str) -> DataFrame:
+    """A page report without one page; a null page is not taken for it."""
+    return pages.where(~F.col("page").eqNullSafe(page))
 
 
 def activity_counts(activity: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from playtrail.operators import cohort_profile, page_share
+from playtrail.operators import cohort_profile, most_used_first, page_share, without_page
 from playtrail.operators.model import (
     Evaluation,
     best_params,
@@ -69,15 +69,16 @@ def train(table: DataFrame, *names: str) -> dict[str, Evaluation]:
 def churn_study(log: DataFrame) -> ChurnStudy:
     """Everything there is to say about a raw log.
 
-    The per-user table is computed from the log once and written; profiles and
-    models read the written table.
+    The per-user table and the page report are computed from the log once each and
+    written; profiles, models and the report without songs read the written tables.
     """
     users = materialize(user_measures(log), "user-measures")
+    pages = materialize(page_share(log), "page-share")
     table = model_input(users)
     evaluations = train(table)
     return ChurnStudy(
-        pages=page_share(log),
-        pages_without_songs=page_share(log, exclude=SONG_PAGE),
+        pages=most_used_first(pages),
+        pages_without_songs=most_used_first(without_page(pages, SONG_PAGE)),
         users=users,
         profiles=cohort_profiles(users),
         label_rate=split_label_rate(table),

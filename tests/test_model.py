@@ -5,6 +5,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from event_fixture import activity_from_events
+from playtrail.operators import page_share
 from playtrail.operators.model import (
     FOLDS,
     TREE_DEPTHS,
@@ -25,6 +26,7 @@ from playtrail.operators.model import (
 from playtrail.operators.search import search_predictions, search_scores
 from playtrail.plans import churn_study, user_features, user_measures
 from playtrail.plans.churn_study import model_input
+from playtrail.schema import SONG_PAGE
 from playtrail.sources import load_model, materialize, save_model
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -144,6 +146,8 @@ def test_whole_study(raw):
     study = churn_study(raw)
     assert study.users.count() == 150
     assert study.pages.count() == study.pages_without_songs.count() + 1
+    assert study.pages.collect() == page_share(raw).collect()
+    assert study.pages_without_songs.collect() == page_share(raw, exclude=SONG_PAGE).collect()
     assert len(study.profiles) == 7
     assert all(profile.count() > 0 for profile in study.profiles.values())
     scores = {r.model: r.f1 for r in study.scores.collect()}
