@@ -2,7 +2,10 @@
 
 Each round joins every node's smallest neighbour to its other neighbours, as
 plain aggregations and joins, and is written to the shared folder, which cuts the
-lineage. No list of neighbours is ever collected, so a node may have any number.
+lineage; the round before is then deleted. No list of neighbours is ever collected,
+so a node may have any number: least neighbours combine on the map side, and the
+join that hands them on also matches a hash of the node, so that it is shuffled for
+its own sake and adaptive execution can split a node with very many neighbours.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.store import written
+from playtrail.llm.store import discard, scratch_path, written
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -20,7 +23,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     else:
         around = edges
     least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = around.join(least, "u")
+    h = {"h": F.xxhash64("u", F.lit("star"))}
+    joined = around.withColumns(h).join(least.withColumns(h), ["h", "u"])
     if larger:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -32,11 +36,14 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b), two longs; root is the least node."""
+    spark = edges.sparkSession
+    path = scratch_path(spark, "edges")
     current = written(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct(),
         "edges",
+        path,
     )
     state = None
     while True:
@@ -48,4 +55,6 @@ def components(edges: DataFrame) -> DataFrame:
                 current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
         state = found
-        current = written(_star(_star(current, larger=True), larger=False), "edges")
+        old, path = path, scratch_path(spark, "edges")
+        current = written(_star(_star(current, larger=True), larger=False), "edges", path)
+        discard(spark, old)

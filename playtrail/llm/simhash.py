@@ -3,9 +3,11 @@
 Two fingerprints within `max_bits` differing bits, cut into `max_bits` + 1
 segments on a ring, have a segment from which every chain of consecutive segments
 keeps its share: the first l segments differ in at most l * max_bits / segments
-bits. The first link of that chain must be equal, so it is the bucket key; the
-further links prune candidates one after the other, and only what is left is
-compared as a whole.
+bits. So the first link of that chain is equal, and the first two differ in one bit
+at most: both are the bucket key (32 bits of 64 where `max_bits` is 3), and of two
+fingerprints whose second links differ, the one with the odd number of set bits
+there also lies in the buckets of all its neighbours. The further links prune
+candidates one after the other, and only what is left is compared as a whole.
 
 Distinct fingerprints are compared, so copies cost nothing. A bucket above
 `TILE` fingerprints is dealt in tiles, and each pair of tiles is a group of its
@@ -14,7 +16,8 @@ own; groups hand on a star per local component and not every pair.
 Defined results: a null text is an empty one, an empty text or one of white space
 has fingerprint zero and links like any other; repeated rows share everything; a
 row without an id has a fingerprint and its group's smallest id (null where the
-group has none); an empty table gives an empty one.
+group has none); an empty table gives an empty one. `simhash_groups` reads `doc_id`
+and `text` alone, whatever other columns are called; `drop_near_copies` keeps all.
 """
 
 from __future__ import annotations
@@ -128,25 +131,28 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 3, tile: int = TILE) -> Da
             return F.col("fp")
         return F.shiftleft("fp", starts[i]).bitwiseOR(F.shiftrightunsigned("fp", 64 - starts[i]))
 
-    buckets = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("at"),
-                    F.shiftrightunsigned(turned(i), 64 - w).alias("segment"),
-                    turned(i).alias("rotated"),
-                )
-                for i, w in enumerate(widths)
-            ]
-        )
+    def bucket(i: int, width: int):
+        second = widths[(i + 1) % len(widths)] if len(widths) > 1 else 0
+        key = F.shiftrightunsigned(turned(i), 64 - width - second)
+        keys = F.array(key)
+        if second:
+            odd = F.bit_count(key.bitwiseAND(F.lit((1 << second) - 1).cast("long"))) % 2 == 1
+            flips = [key.bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(second)]
+            keys = F.when(odd, F.array(key, *flips)).otherwise(keys)
+        return F.struct(F.lit(i).alias("at"), turned(i).alias("rotated"), keys.alias("keys"))
+
+    buckets = F.explode(F.array(*[bucket(i, w) for i, w in enumerate(widths)]))
+    rows = (
+        fps.select("fp", buckets.alias("b"))
+        .select("fp", "b.at", "b.rotated", F.explode("b.keys").alias("segment"))
+        .select("fp", "at", "segment", "rotated")
     )
-    rows = fps.select("fp", buckets.alias("b")).select("fp", "b.*")
-    large = rows.groupBy("at", "segment").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile)
-    tiles = large.select("at", "segment", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    dealt = rows.join(tiles, ["at", "segment"], "left").withColumn(
-        "own", F.coalesce(F.pmod(F.xxhash64("fp"), "tiles").cast("int"), F.lit(0))
+    shared = rows.groupBy("at", "segment").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    tiles = shared.select("at", "segment", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    dealt = rows.join(tiles, ["at", "segment"]).withColumn(
+        "own", F.pmod(F.xxhash64("fp"), "tiles").cast("int")
     )
-    other = F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     group = ["at", "segment", "first", "second"]
     grouped = (
         dealt.withColumn("other", other)

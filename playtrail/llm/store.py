@@ -28,13 +28,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None, **options: str) -> DataFrame:
     """The frame, written once to the shared folder and read back."""
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that this package wrote and nothing reads any more."""
+    if not path.startswith(scratch_root(spark) + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where the driver found it.
 
