@@ -28,6 +28,7 @@ from playtrail.operators import (  # noqa: E402
     clean_activity,
     cohort_profile,
     enrich_activity,
+    last_week,
     page_frequency,
     page_share,
     preview,
@@ -38,6 +39,7 @@ from playtrail.operators import (  # noqa: E402
     with_calendar,
     with_churned,
     with_flags,
+    with_rates,
     with_user_bounds,
     with_user_totals,
 )
@@ -359,6 +361,14 @@ def _user_features_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_features(user_activity(read_rollup(spark, path)))
 
 
+def _last_week_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last week one operator after the other: label and bounds, cut, then what is within the week."""
+    labelled = with_churned(with_flags(_clean(spark, sf_dir)))
+    week = last_week(with_user_bounds(labelled))
+    measured = with_rates(with_active_days(with_user_totals(week)))
+    return measured.select(*EVENT_KEY, *TOTALS, "daysInteracting", *RATES)
+
+
 def _event_rates_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = write_bucketed(_clean(spark, sf_dir), "activity_by_user")
     rates = user_activity(user_day_rollup(events)).select("userId", *RATES)
@@ -455,6 +465,7 @@ def _activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rejected_activity": _rejected_activity,
         "schema_by_file": _schema_by_file,
         "user_features_stored": _user_features_stored,
+        "last_week_in_steps": _last_week_in_steps,
         "event_rates_bucketed": _event_rates_bucketed,
         "users_in_spans": _users_in_spans,
     }
@@ -952,6 +963,9 @@ FROM drifted WHERE sessionId LIKE '%.5' OR ts = 'noon' OR status = 'ok'""",
             _SQL_EVENT_TOTALS + ", count(DISTINCT eventDay) OVER u AS daysInteracting"
         )})
 SELECT {_KEY}, {_SQL_RATES} FROM totals""",
+        "last_week_in_steps": f"""
+SELECT {_KEY}, {", ".join([*TOTALS, "daysInteracting", *RATES])}
+FROM ({_sql_enriched("last_week")}) AS week""",
         "users_in_spans": f"""{_ON_FLAGGED}, spans AS ({_SQL_SPANS})
 SELECT low AS "first", high AS "last", count(DISTINCT userId) AS users
 FROM spans JOIN flagged ON eventDay BETWEEN low AND high GROUP BY low, high""",
