@@ -59,12 +59,12 @@ def shard_rows(
 ) -> DataFrame:
     """Rows with `shard`, `grown_shard` (with one more) and `slot`, gapless in a shard.
 
-    Slots are numbered by block of a key and then by key. A block holds about
-    `rows_per_block` rows of any shard, so a shard is never sorted as a whole.
+    Slots are numbered by block and then by key. A block holds about `rows_per_block`
+    rows of any shard, so a shard is never sorted as a whole. Blocks go by a hash of
+    the whole row, so that different rows of one key, or without a key, are spread.
     """
     blocks = max(1, -(-rows.count() // rows_per_block))
-    mixed = F.expr(f"{_step(_unsigned(key))} DIV {HIGH_BITS}BD")
-    block = {"_block": F.pmod(mixed, F.lit(blocks))}
+    block = {"_block": F.pmod(F.xxhash64(*rows.columns), F.lit(blocks))}
     placed = rows.withColumns({"shard": jump_shard(key, shards)} | block)
     counts = placed.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
