@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from playtrail.llm.store import written
 
@@ -53,20 +54,22 @@ SECRET_LIKE = ("assign", "hex", "secret")
 SCOPE = 400
 
 
-def _matches(kind: str) -> dict[str, Column]:
-    """Lengths of the matches and of the text before each, and which matches hold."""
+def _matches(kind: str) -> list[dict[str, Column]]:
+    """Columns, step by step: whether a kind occurs, its matches, and the text before each.
+
+    Most texts hold nothing of a kind and cost one search for it.
+    """
     pattern = KINDS[kind].replace("\\", "\\\\").replace("'", "\\'")
-    found = f"regexp_extract_all(text, '{pattern}', 0)"
     empty = "CAST(array() AS ARRAY<STRING>)"
-    columns = {
-        f"{kind}_found": F.expr(f"IF(text RLIKE '{pattern}', {found}, {empty})"),
-        f"{kind}_gaps": F.expr(f"IF(text RLIKE '{pattern}', split(text, '{pattern}', -1), {empty})"),
-    }
-    if kind == "assign":
-        columns["assign_values"] = F.expr(
-            f"IF(text RLIKE '{pattern}', regexp_extract_all(text, '{pattern}', 1), {empty})"
-        )
-    return columns
+    values = f"transform({kind}_found, m -> regexp_extract(m, '{pattern}', 1))" if kind == "assign" else empty
+    return [
+        {f"{kind}_any": F.expr(f"text RLIKE '{pattern}'")},
+        {
+            f"{kind}_found": F.expr(f"IF({kind}_any, regexp_extract_all(text, '{pattern}', 0), {empty})"),
+            f"{kind}_gaps": F.expr(f"IF({kind}_any, split(text, '{pattern}', -1), {empty})"),
+        },
+        {f"{kind}_values": F.expr(values)},
+    ]
 
 
 def _sum(values: str) -> str:
@@ -120,8 +123,7 @@ def located(docs: DataFrame) -> DataFrame:
     frame = docs.select(
         F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    frame = frame.withColumns({k: v for kind in KINDS for k, v in _matches(kind).items()}).drop("text")
-    chains = [_positions(kind, number) for number, kind in enumerate(KINDS)]
+    chains = [_matches(kind) + _positions(kind, number) for number, kind in enumerate(KINDS)]
     for columns in zip(*chains):
         frame = frame.withColumns({k: v for some in columns for k, v in some.items()})
     return written(
@@ -168,6 +170,24 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     return reduce(DataFrame.unionByName, found).drop("slot")
 
 
+def outside_strong(parts: DataFrame) -> DataFrame:
+    """Parts of (row, kind, start, end) without weak secrets inside a strong span, which are that span.
+
+    Of the strong spans that start no later than a secret, the one that ends last
+    holds it if any does: one sort of a document's parts, however many it has.
+    Identifiers and endpoints may hold or overlap a strong span.
+    """
+    names = list(KINDS)
+    strong = F.col("kind").isin([names.index(k) for k in STRONG])
+    reach = F.max(F.when(strong, F.col("end"))).over(Window.partitionBy("row").orderBy("start"))
+    inside = (F.col("kind") == names.index("secret")) & (F.col("end") <= F.col("reach"))
+    return (
+        parts.withColumn("reach", reach)
+        .where(~F.coalesce(inside, F.lit(False)))
+        .select("row", "kind", "start", "end")
+    )
+
+
 def _text(spans: str) -> Column:
     """kind:start:end of each, by start and then kind, comma-joined."""
     names = ", ".join(f"'{k}'" for k in KINDS)
@@ -181,16 +201,9 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """One row per document: counts of the strong kinds, their digest, and all spans."""
     table = located(docs)
     spans = F.concat(*[F.col(k) for k in KINDS])
-    # A weak secret inside a strong span is that span; other parts may hold or overlap one.
-    parts = (
-        table.select("row", *KINDS)
-        .where(F.size(F.concat("identifier", "secret", "endpoint")) > 0)
-        .withColumn("strong", F.concat(*[F.col(k) for k in STRONG]))
-        .select("row", "strong", F.explode(spans).alias("s"))
-        .where(
-            f"s.kind <> {list(KINDS).index('secret')} OR NOT exists(strong, t -> t.start <= s.start AND s.end <= t.end)"
-        )
-        .select("row", "s.kind", "s.start", "s.end")
+    weak = F.size(F.concat("identifier", "secret", "endpoint")) > 0
+    parts = written(
+        outside_strong(table.where(weak).select("row", F.inline(spans))), "secret-spans"
     )
     added = (
         linked_parts(parts, scope)
