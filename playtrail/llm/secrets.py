@@ -1,8 +1,8 @@
 """Secrets in text, and credentials whose parts only count together.
 
 Matches are found with regular expressions in the JVM: `split` gives the text
-between matches and `regexp_extract_all` the matches, so their lengths in a row
-are the positions, in code points. Strong kinds (`assign`, `access`, `hex`) are
+between matches and `regexp_extract_all` the matches, so running sums of their
+lengths are the positions, in code points. Strong kinds (`assign`, `access`, `hex`) are
 reported wherever they stand. Weak kinds are parts that prove nothing alone: an
 `identifier` (client id, account id), a `secret` (a long mixed token without a
 keyword) and an `endpoint`. An interval join within the document reports an
@@ -55,80 +55,67 @@ SCOPE = 400
 
 
 def _matches(kind: str) -> list[dict[str, Column]]:
-    """Columns, step by step: whether a kind occurs, its matches, and the text before each.
+    """Columns, step by step, up to `<kind>`: an array of (kind number, place, gap, size, holds).
 
-    Most texts hold nothing of a kind and cost one search for it.
+    A match is told by its length and that of the text before it, back to the match
+    before. Most texts hold nothing of a kind and cost one search for it. No lambda
+    refers to a whole array, so the work is linear in the text.
     """
+    number = list(KINDS).index(kind)
     pattern = KINDS[kind].replace("\\", "\\\\").replace("'", "\\'")
     empty = "CAST(array() AS ARRAY<STRING>)"
-    values = f"transform({kind}_found, m -> regexp_extract(m, '{pattern}', 1))" if kind == "assign" else empty
+    match, gap = f"x.{kind}_found", f"x.{kind}_gaps"
+    holds = f"length(regexp_extract({match}, '{pattern}', 1)) >= {ASSIGN_LENGTH}" if kind == "assign" else "true"
     return [
         {f"{kind}_any": F.expr(f"text RLIKE '{pattern}'")},
         {
             f"{kind}_found": F.expr(f"IF({kind}_any, regexp_extract_all(text, '{pattern}', 0), {empty})"),
             f"{kind}_gaps": F.expr(f"IF({kind}_any, split(text, '{pattern}', -1), {empty})"),
         },
-        {f"{kind}_values": F.expr(values)},
-    ]
-
-
-def _sum(values: str) -> str:
-    return f"aggregate({values}, 0L, (a, x) -> a + x)"
-
-
-def _positions(kind: str, number: int) -> list[dict[str, Column]]:
-    """Columns, step by step, up to `<kind>`: an array of (start, kind number, end).
-
-    The place of match i is the sum of the steps before it. Sums of whole runs of
-    about sqrt(n) steps are taken first, so that n matches cost n * sqrt(n).
-    """
-    step = f"{kind}_step"
-    run = f"{kind}_run"
-    found = f"{kind}_found"
-    before = (
-        f"{_sum(f'slice({kind}_runs, 1, i DIV {run})')}"
-        f" + {_sum(f'slice({step}, CAST((i DIV {run}) * {run} AS INT) + 1, i % {run})')}"
-        f" + length({kind}_gaps[i])"
-    )
-    holds = f"length(assign_values[i]) >= {ASSIGN_LENGTH}" if kind == "assign" else "true"
-    return [
-        {
-            step: F.expr(
-                f"transform({found}, (m, i) -> CAST(length(m) + length({kind}_gaps[i]) AS BIGINT))"
-            ),
-            run: F.expr(f"CAST(greatest(1, ceil(sqrt(size({found})))) AS INT)"),
-        },
-        {
-            f"{kind}_runs": F.expr(
-                f"transform(sequence(0, size({step}) DIV {run}),"
-                f" k -> {_sum(f'slice({step}, CAST(k AS INT) * {run} + 1, {run})')})"
-            )
-        },
-        {
-            f"{kind}_starts": F.expr(
-                f"transform({found}, (m, i) -> IF({holds}, {before}, CAST(NULL AS BIGINT)))"
-            )
-        },
         {
+            # The text after the last match comes without a match, and its size is null.
             kind: F.expr(
-                f"filter(transform({found}, (m, i) -> named_struct('start', {kind}_starts[i],"
-                f" 'kind', {number}, 'end', {kind}_starts[i] + length(m))), s -> s.start IS NOT NULL)"
+                f"transform(arrays_zip({kind}_found, {kind}_gaps), (x, i) -> named_struct('kind', {number},"
+                f" 'i', i, 'gap', length({gap}), 'size', length({match}), 'holds', {holds}))"
             )
         },
     ]
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """`doc_id`, a row number, and the spans of each kind; written once."""
+def located(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row) of all documents, and (row, kind, start, end, inside) of all spans; both written.
+
+    Starts are running sums over a document's matches of a kind. A weak secret is
+    `inside` if a strong span holds it: of the strong spans that start no later, the
+    one that ends last does if any does. Identifiers and endpoints may hold or
+    overlap a strong span. One shuffle serves both windows.
+    """
     frame = docs.select(
         F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    chains = [_matches(kind) + _positions(kind, number) for number, kind in enumerate(KINDS)]
-    for columns in zip(*chains):
+    for columns in zip(*[_matches(kind) for kind in KINDS]):
         frame = frame.withColumns({k: v for some in columns for k, v in some.items()})
-    return written(
-        frame.select("doc_id", F.monotonically_increasing_id().alias("row"), *KINDS), "secret-parts"
+    found = written(
+        frame.select(
+            "doc_id", F.monotonically_increasing_id().alias("row"), F.concat(*KINDS).alias("matches")
+        ),
+        "secret-matches",
     )
+    names = list(KINDS)
+    so_far = F.sum(F.expr("CAST(gap + size AS BIGINT)")).over(Window.partitionBy("row", "kind").orderBy("i"))
+    strong = F.col("kind").isin([names.index(k) for k in STRONG])
+    reach = F.max(F.when(strong, F.col("end"))).over(Window.partitionBy("row").orderBy("start"))
+    inside = (F.col("kind") == names.index("secret")) & (F.col("end") <= reach)
+    spans = (
+        found.select("row", F.inline("matches"))
+        .where("size IS NOT NULL")
+        .repartition("row")
+        .withColumn("end", so_far)
+        .where("holds")
+        .select("row", "kind", (F.col("end") - F.col("size")).alias("start"), "end")
+        .withColumn("inside", F.coalesce(inside, F.lit(False)))
+    )
+    return found.select("doc_id", "row"), written(spans, "secret-spans")
 
 
 def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -170,24 +157,6 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     return reduce(DataFrame.unionByName, found).drop("slot")
 
 
-def outside_strong(parts: DataFrame) -> DataFrame:
-    """Parts of (row, kind, start, end) without weak secrets inside a strong span, which are that span.
-
-    Of the strong spans that start no later than a secret, the one that ends last
-    holds it if any does: one sort of a document's parts, however many it has.
-    Identifiers and endpoints may hold or overlap a strong span.
-    """
-    names = list(KINDS)
-    strong = F.col("kind").isin([names.index(k) for k in STRONG])
-    reach = F.max(F.when(strong, F.col("end"))).over(Window.partitionBy("row").orderBy("start"))
-    inside = (F.col("kind") == names.index("secret")) & (F.col("end") <= F.col("reach"))
-    return (
-        parts.withColumn("reach", reach)
-        .where(~F.coalesce(inside, F.lit(False)))
-        .select("row", "kind", "start", "end")
-    )
-
-
 def _text(spans: str) -> Column:
     """kind:start:end of each, by start and then kind, comma-joined."""
     names = ", ".join(f"'{k}'" for k in KINDS)
@@ -199,24 +168,25 @@ def _text(spans: str) -> Column:
 
 def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """One row per document: counts of the strong kinds, their digest, and all spans."""
-    table = located(docs)
-    spans = F.concat(*[F.col(k) for k in KINDS])
-    weak = F.size(F.concat("identifier", "secret", "endpoint")) > 0
-    parts = written(
-        outside_strong(table.where(weak).select("row", F.inline(spans))), "secret-spans"
-    )
-    added = (
-        linked_parts(parts, scope)
+    table, spans = located(docs)
+    names = list(KINDS)
+    numbers = [names.index(k) for k in STRONG]
+    parts = spans.where("NOT inside").drop("inside")
+    reported = (
+        parts.where(F.col("kind").isin(numbers))
+        .unionByName(linked_parts(parts, scope))
         .groupBy("row")
-        .agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
+        .agg(F.collect_list(F.struct("start", "kind", "end")).alias("found"))
     )
     none = F.expr("CAST(array() AS ARRAY<STRUCT<start: BIGINT, kind: INT, end: BIGINT>>)")
-    joined = table.join(added, "row", "left").withColumns(
-        {"strong": F.concat(*[F.col(k) for k in STRONG]), "added": F.coalesce("added", none)}
-    )
-    return joined.withColumn("all", F.concat("strong", "added")).select(
+    joined = table.join(reported, "row", "left").withColumn("all", F.coalesce("found", none))
+    base = f"filter(all, s -> s.kind IN ({', '.join(map(str, numbers))}))"
+    return joined.select(
         F.col("doc_id"),
-        *[F.size(k).cast("long").alias(f"n_{k}") for k in STRONG],
-        F.sha2(_text("strong"), 256).alias("base_sha256"),
+        *[
+            F.expr(f"CAST(size(filter(all, s -> s.kind = {names.index(k)})) AS BIGINT)").alias(f"n_{k}")
+            for k in STRONG
+        ],
+        F.sha2(_text(base), 256).alias("base_sha256"),
         _text("all").alias("spans"),
     )
