@@ -11,6 +11,7 @@ tokenizer whole.
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,18 @@ ODD_WITH_SPACES = (
     r"|[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 ODD_WITHOUT_SPACES = r"<\|"
+# Its last letter is none that normal forms or lower case turn into a letter and a sign, which
+# could join the mark (U+0130, and some of the blocks from Devanagari to Tibetan and of U+FB1D on).
+MARKED_WORD = r"^\p{L}*[^\P{L}\x{130}\x{900}-\x{fff}\x{fb1d}-\x{fb4f}][.,]$"
 
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
+def _items(values: pa.Array) -> list:
+    # By way of NumPy: `to_pylist` makes an Arrow scalar of every item first.
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class TextEncoder:
     """`encode` gives one array of ids per text."""
 
@@ -46,6 +55,7 @@ class TextEncoder:
         edge = np.zeros(self.vocabulary_size, bool)
         edge[[i for t, i in vocabulary.items() if (t[:1] == "Ġ" if self.spaced else t[-4:] == "</w>")]] = True
         self.edge = edge
+        self.mark_ids = {c: array("I", self._ids(c)).tobytes() for c in ".,"}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -79,7 +89,7 @@ class TextEncoder:
             texts = pc.replace_substring(texts, "\n", " ")
         parts = pc.split_pattern(texts, " ")
         coded = parts.flatten().dictionary_encode()
-        values = self._lookup(coded.dictionary.to_pylist())
+        values = self._lookup(coded.dictionary)
         lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
         data = np.frombuffer(b"".join(values), "<u4")
         starts = np.cumsum(lengths) - lengths
@@ -92,54 +102,65 @@ class TextEncoder:
         stops = np.concatenate([[0], ends[last - 1]])
         return [ids[a + self.spaced : b] for a, b in zip(stops, stops[1:])]
 
-    def _lookup(self, words: list[str]) -> list[bytes]:
+    def _lookup(self, chunks: pa.Array) -> list[bytes]:
+        """Ids of different chunks; a word and the mark after it are never one token, so words
+        are looked up without it."""
+        marked = pc.match_substring_regex(chunks, MARKED_WORD)
+        words = pc.if_else(marked, pc.utf8_slice_codeunits(chunks, 0, -1), chunks).dictionary_encode()
+        known = self._cached(_items(words.dictionary))
+        values = [known[i] for i in _items(words.indices)]
+        marks = _items(pc.utf8_slice_codeunits(chunks.filter(marked), -1))
+        for i, mark in zip(np.flatnonzero(marked).tolist(), marks):
+            values[i] += self.mark_ids[mark]
+        return values
+
+    def _cached(self, words: list[str]) -> list[bytes]:
         if len(self.new) > self.cache_words:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        found = [new.get(w) for w in words]
-        missing = []
-        for i, value in enumerate(found):
-            if value is None:
-                word = words[i]
-                value = old.get(word)
-                if value is None:
-                    missing.append(i)
-                else:
-                    found[i] = new[word] = value
+        found = list(map(new.get, words))
+        missing = [i for i, value in enumerate(found) if value is None]
+        if old:
+            for i in missing:
+                value = old.get(words[i])
+                if value is not None:
+                    found[i] = new[words[i]] = value
+            missing = [i for i in missing if found[i] is None]
         if missing:
-            for i, value in zip(missing, self._words([words[i] for i in missing])):
-                found[i] = new[words[i]] = value
+            unseen = [words[i] for i in missing]
+            values = self._words(unseen)
+            new.update(zip(unseen, values))
+            for i, value in zip(missing, values):
+                found[i] = value
         return found
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of chunks: plain words many at a time, the others one by one."""
         values: list[bytes] = [b""] * len(words)
-        simple, tails, other = [], [], []
-        tail_ids = {"": b""} | {c: array("I", self._ids(c)).tobytes() for c in ".,"}
-        for i, word in enumerate(words):
-            tail = word[-1:] if word[-1:] in (".", ",") else ""
-            core = word[: len(word) - len(tail)]
-            if core.isalpha():
-                simple.append((i, core))
-                tails.append(tail)
-            else:
-                other.append(i)
+        simple = [i for i, word in enumerate(words) if word.isalpha()]
+        other = [i for i, word in enumerate(words) if not word.isalpha()]
+        head = " " if self.spaced else ""
         for low in range(0, len(simple), JOINED_WORDS):
-            some = simple[low : low + JOINED_WORDS]
-            joined = " ".join(core for _, core in some)
-            ids = np.array(self._ids((" " if self.spaced else "") + joined), "<u4")
-            marks = np.flatnonzero(self.edge[ids])
-            if len(marks) != len(some):
-                other += [i for i, _ in some]
+            run = simple[low : low + JOINED_WORDS]
+            (row,) = self._rows([head + " ".join([words[i] for i in run])])
+            marks = np.flatnonzero(self.edge[np.frombuffer(row, "<u4")])
+            if len(marks) != len(run):
+                other += run
                 continue
-            cuts = [*marks, len(ids)] if self.spaced else [0, *(marks + 1)]
-            for (i, _), tail, a, b in zip(some, tails[low : low + JOINED_WORDS], cuts, cuts[1:]):
-                values[i] = ids[a:b].tobytes() + tail_ids[tail]
+            cuts = [*marks.tolist(), len(row) // 4] if self.spaced else [0, *(marks + 1).tolist()]
+            for i, a, b in zip(run, cuts, cuts[1:]):
+                values[i] = row[4 * a : 4 * b]
         texts = [" " + words[i] if self.spaced and words[i][:1] != "\n" else words[i] for i in other]
-        for i, coded in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            values[i] = array("I", coded.ids).tobytes()
+        for i, row in zip(other, self._rows(texts)):
+            values[i] = row
         return values
 
+    def _rows(self, texts: list[str]) -> Iterator[bytes]:
+        for low in range(0, len(texts), JOINED_WORDS):
+            some = texts[low : low + JOINED_WORDS]
+            for coded in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+                yield array("I", coded.ids).tobytes()
+
 
 def encoder(path: str) -> TextEncoder:
     """One encoder, and so one cache, per file and worker process."""

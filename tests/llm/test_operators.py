@@ -54,6 +54,19 @@ def test_cached_encoding_is_the_tokenizers(name):
         assert got.tolist() == own._ids(text), text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_word_is_encoded_once_whatever_mark_follows(name):
+    import pyarrow as pa
+
+    words = ["stone", "Été", "река", "x\u0130", "क\u0958", "\ufb2e", "가", "٣", "don't"]
+    texts = [f"a {w} b {w}. c {w}, d {w}.. e{w}," for w in words] + [f"{w}.\n{w}, {w}" for w in words]
+    own = TextEncoder(queries.tokenizer_path(name))
+    for text, got in zip(texts, own.encode(pa.array(texts))):
+        assert got.tolist() == own._ids(text), text
+    assert "stone" in own.new and "река" in own.new
+    assert not {"stone.", "stone,", "река.", "река,"} & own.new.keys()
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_packing(request, which):
     df = request.getfixturevalue(which)
