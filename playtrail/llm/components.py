@@ -5,7 +5,9 @@ plain aggregations and joins, and is written to the shared folder, which cuts th
 lineage; the round before is then deleted. No list of neighbours is ever collected,
 so a node may have any number: least neighbours combine on the map side, and the
 join that hands them on also matches a hash of the node, so that it is shuffled for
-its own sake and adaptive execution can split a node with very many neighbours.
+its own sake and adaptive execution can split a node with very many neighbours. It
+asks for a merge join, as the files of an edge table, which Spark takes for its size,
+are far smaller than the table in a broadcast.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
         around = edges
     least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     h = {"h": F.xxhash64("u", F.lit("star"))}
-    joined = around.withColumns(h).join(least.withColumns(h), ["h", "u"])
+    joined = around.withColumns(h).join(least.withColumns(h).hint("merge"), ["h", "u"])
     if larger:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

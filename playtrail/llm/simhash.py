@@ -13,6 +13,10 @@ Distinct fingerprints are compared, so copies cost nothing. A bucket above
 `TILE` fingerprints is dealt in tiles, and each pair of tiles is a group of its
 own; groups hand on a star per local component and not every pair.
 
+Joins of tables that grow with the input ask for a merge of sorted shuffles: Spark
+sizes an exploded table, and a written one, by compressed files, and what it then
+takes for small may not fit the driver as a broadcast.
+
 Defined results: a null text is an empty one, an empty text or one of white space
 has fingerprint zero and links like any other; repeated rows share everything; a
 row without an id has a fingerprint and its group's smallest id (null where the
@@ -149,7 +153,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 3, tile: int = TILE) -> Da
     )
     shared = rows.groupBy("at", "segment").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     tiles = shared.select("at", "segment", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    dealt = rows.join(tiles, ["at", "segment"]).withColumn(
+    # Spark sizes `rows` as before the explodes, some 36 times too low, and might broadcast it.
+    dealt = rows.join(tiles.hint("merge"), ["at", "segment"]).withColumn(
         "own", F.pmod(F.xxhash64("fp"), "tiles").cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
@@ -196,7 +201,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 3, tile: int = TILE) -> Da
 def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
     """The distinct fingerprints with the `root` of their group, the least fingerprint."""
     roots = components(fingerprint_links(distinct, max_bits))
-    return distinct.join(roots, distinct.fp == roots.node, "left").select(
+    return distinct.join(roots.hint("merge"), distinct.fp == roots.node, "left").select(
         *distinct.columns, F.coalesce("root", "fp").alias("root")
     )
 
@@ -208,7 +213,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
     rooted = _rooted(distinct, max_bits)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     groups = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(groups, "fp").select(
+    return prints.join(groups.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from playtrail.llm import simhash, store
-from playtrail.llm.components import components
+from playtrail.llm.components import _star, components
 
 
 def roots(prints, bits):
@@ -65,3 +65,28 @@ def test_rounds_leave_one_table(llm, tmp_path, monkeypatch):
 def test_a_node_with_many_neighbours(llm):
     star = llm.createDataFrame([(5000, i) for i in range(3000)] + [(5000, 7)] * 9, "a long, b long")
     assert {r["root"] for r in components(star).collect()} == {0}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exploded_prints_are_not_broadcast(llm, tmp_path):
+    """About 36 bucket rows a print, in a table that Spark sizes by the file of prints."""
+    rng = np.random.default_rng(7)
+    prints = rng.integers(-(2**63), 2**63 - 1, 500).tolist()
+    llm.createDataFrame([(p,) for p in prints], "fp long").write.parquet(f"{tmp_path}/prints")
+    links = plan(simhash.fingerprint_links(llm.read.parquet(f"{tmp_path}/prints")))
+    assert "SortMergeJoin" in links and "BroadcastHashJoin" not in links
+
+
+def test_no_written_table_of_a_group_is_broadcast(llm, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "scratch_root", lambda spark: f"file://{tmp_path}")
+    chain = [(i, i + 1) for i in range(5)]
+    edges = llm.createDataFrame(chain, "u long, v long")
+    edges.write.parquet(f"{tmp_path}/edges")
+    for larger in (True, False):
+        star = plan(_star(llm.read.parquet(f"{tmp_path}/edges"), larger))
+        assert "SortMergeJoin" in star and "BroadcastHashJoin" not in star
+    docs = llm.createDataFrame([(i, f"one text {i % 3}") for i in range(9)], "doc_id long, text string")
+    assert plan(simhash.simhash_groups(docs)).count("SortMergeJoin") >= 2
