@@ -274,8 +274,9 @@ def verified_overlaps(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
         F.col("s.places").alias("place"),
         F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"),
     )
+    # Spark sizes both sides as before the explodes, and documents by compressed files.
     diagonals = (
-        windows.join(seeds, ["hash", "salt"])
+        windows.join(seeds.hint("merge"), ["hash", "salt"])
         .select("row", "item", (F.col("place") - F.col("item_place")).alias("diagonal"))
         .distinct()
     )
@@ -289,7 +290,7 @@ def verified_overlaps(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
     documents = hits.select("row", "doc_id", F.col("n_words").alias("doc_words"), F.col("words").alias("document"))
     passages = items.select("item", "item_id", F.col("n_words").alias("item_words"), F.col("words").alias("passage"))
     pairs = (
-        diagonals.join(documents, "row")
+        diagonals.join(documents.hint("merge"), "row")
         .join(passages, "item")
         .select(
             "row", "item", "doc_id", "item_id", "item_words", "doc_words", start.alias("start"),
